@@ -61,10 +61,11 @@ def parse_date(value: Column, reference: Column | None = None, fallback_to_refer
     """
     words = reference if reference is not None and fallback_to_reference else None
 
-    def read(text: Column) -> Column:
+    def read(pair: Column) -> Column:
+        text = pair["text"]
         parsed = [_iso(text), _with_clock(text, _YMD, 1, 2, 3), _with_clock(text, _DMY, 3, 2, 1)]
         if words is not None:
-            midnight = F.date_trunc("day", words)
+            midnight = F.date_trunc("day", pair["reference"])
             yesterday = midnight - F.expr("INTERVAL '1' DAY")
             word = F.lower(text)
             parsed.append(
@@ -72,7 +73,9 @@ def parse_date(value: Column, reference: Column | None = None, fallback_to_refer
             )
         return F.coalesce(*parsed)
 
-    return bind(F.replace(strip(value), F.lit("Z"), F.lit("+00:00")), read)
+    text = F.replace(strip(value), F.lit("Z"), F.lit("+00:00"))
+    context = [words.alias("reference")] if words is not None else []
+    return bind(F.struct(text.alias("text"), *context), read)
 
 
 def parse_iso(value: Column) -> Column:

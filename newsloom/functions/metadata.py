@@ -31,24 +31,25 @@ def has_key(metadata: Column, key: str) -> Column:
     return F.coalesce(F.map_contains_key(metadata, F.lit(key)), F.lit(False))
 
 
-def set_default(metadata: Column, key: str, value: Column) -> Column:
-    """Add ``key`` unless it is present already."""
+def _with_default(metadata: Column, key: str, value: Column, keep_null: bool) -> Column:
+    def extended(pair: Column) -> Column:
+        base, new = pair["base"], pair["value"]
+        added = F.map_concat(base, F.create_map(F.lit(key), new))
+        present = has_key(base, key) if keep_null else has_key(base, key) | new.isNull()
+        return F.when(present, base).otherwise(added)
 
-    def extended(base: Column) -> Column:
-        added = F.map_concat(base, F.create_map(F.lit(key), value.cast("string")))
-        return F.when(has_key(base, key), base).otherwise(added)
+    base = F.coalesce(metadata, empty_map())
+    return bind(F.struct(base.alias("base"), value.cast("string").alias("value")), extended)
 
-    return bind(F.coalesce(metadata, empty_map()), extended)
+
+def set_default(metadata: Column, key: str, value: Column) -> Column:
+    """Add ``key`` unless it is present already."""
+    return _with_default(metadata, key, value, keep_null=True)
 
 
 def set_default_if(metadata: Column, key: str, value: Column) -> Column:
     """Like :func:`set_default`, but a null value adds nothing."""
-
-    def extended(base: Column) -> Column:
-        added = F.map_concat(base, F.create_map(F.lit(key), value.cast("string")))
-        return F.when(has_key(base, key) | value.isNull(), base).otherwise(added)
-
-    return bind(F.coalesce(metadata, empty_map()), extended)
+    return _with_default(metadata, key, value, keep_null=False)
 
 
 def portal_name(*maps: Column) -> Column:

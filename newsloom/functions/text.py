@@ -14,7 +14,11 @@ DEFAULT_TITLE = "Sem título"
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, however often the body uses it."""
+    """``body(value)`` with ``value`` computed once, however often the body uses it.
+
+    The body must use no other columns (pass several as a struct): the optimizer could move a
+    Python UDF into it, where Spark cannot run one.
+    """
     return F.element_at(F.transform(F.array(value), body), 1)
 
 

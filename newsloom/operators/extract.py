@@ -97,7 +97,7 @@ def _listing_items(html: str | None, options_text: str | None) -> list[dict] | N
     return items
 
 
-def _article_parts(html: str | None, options_text: str | None) -> dict | None:
+def _article_parts(html: str | None, options_text: str | None, keep_body: bool = True) -> dict | None:
     options = _options(options_text)
     page = _parsed(html)
     body = page.first(options.get("body_selector") or "") if page else None
@@ -106,7 +106,8 @@ def _article_parts(html: str | None, options_text: str | None) -> dict | None:
     title = options.get("title_selector") and page.first(options["title_selector"])
     meta, lists = _metadata(page, options["metadata_selectors"], None)
     return {
-        "body_html": page.html(body),
+        "found": True,
+        "body_html": page.html(body) if keep_body else None,
         "title_text": page.text(title) or None if title else None,
         "meta": meta,
         "lists": lists,
@@ -138,33 +139,33 @@ def _fields(html: str | None, options_text: str | None) -> list[tuple[str, str |
     return found
 
 
-def _arrow(function, html: pa.Array, options: pa.Array, arrow_type: pa.DataType) -> pa.Array:
-    rows = [function(h.as_py(), o.as_py()) for h, o in zip(html, options, strict=True)]
+def _arrow(function, arrow_type: pa.DataType, *columns: pa.Array) -> pa.Array:
+    rows = [function(*values) for values in zip(*(column.to_pylist() for column in columns), strict=True)]
     return pa.array(rows, type=arrow_type)
 
 
 @F.arrow_udf(LISTING_RESULT)
 def _listing_udf(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for html, options in batches:
-        yield _arrow(_listing_items, html, options, _LISTING_ARROW)
+        yield _arrow(_listing_items, _LISTING_ARROW, html, options)
 
 
 @F.arrow_udf(S.ARTICLE_PARTS)
-def _article_udf(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for html, options in batches:
-        yield _arrow(_article_parts, html, options, _ARTICLE_ARROW)
+def _article_udf(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for html, options, keep_body in batches:
+        yield _arrow(_article_parts, _ARTICLE_ARROW, html, options, keep_body)
 
 
 @F.arrow_udf(S.CLEANED)
 def _clean_udf(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for html, options in batches:
-        yield _arrow(_cleaned, html, options, _CLEANED_ARROW)
+        yield _arrow(_cleaned, _CLEANED_ARROW, html, options)
 
 
 @F.arrow_udf(FIELD_MAP)
 def _fields_udf(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for html, options in batches:
-        yield _arrow(_fields, html, options, _FIELDS_ARROW)
+        yield _arrow(_fields, _FIELDS_ARROW, html, options)
 
 
 # column functions -------------------------------------------------------------------
@@ -178,9 +179,12 @@ def linked_items(items: Column) -> Column:
     return F.filter(items, lambda item: item["href"] != "")
 
 
-def article_parts(html: Column, options: Column) -> Column:
-    """Body, title, metadata, safe HTML and raw text of an article page; null without a body."""
-    return _article_udf(html, options)
+def article_parts(html: Column, options: Column, keep_body: bool = True) -> Column:
+    """Body, title, metadata, safe HTML and raw text of an article page; null without a body.
+
+    The collect job stores safe HTML only and leaves the original body out.
+    """
+    return _article_udf(html, options, F.lit(keep_body))
 
 
 def extract_fields(html: Column, selectors: dict[str, str]) -> Column:

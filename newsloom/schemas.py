@@ -82,6 +82,7 @@ LISTING_ITEM = T.StructType(
 
 ARTICLE_PARTS = T.StructType(
     [
+        T.StructField("found", T.BooleanType()),
         T.StructField("body_html", _S),
         T.StructField("title_text", _S),
         T.StructField("meta", STRING_MAP),
