@@ -6,8 +6,8 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.plans.collect import CollectResult, Options, collect
-from newsloom.session import stage
+from newsloom.plans.collect import Options, collect
+from newsloom.session import Staging
 from newsloom.sources.store import current_articles, seen_fingerprints, write_version
 
 
@@ -20,8 +20,8 @@ def run_collect(
     options: Options,
     remember: bool = False,
     landed_only: bool = False,
-) -> CollectResult:
-    """Collect against the tables below ``root`` and append this run as ``version``.
+) -> DataFrame:
+    """Collect against the tables below ``root``, append this run as ``version``, give its report.
 
     Tables: ``articles``, ``write_log``, ``outcomes``, ``report`` (JSON) and, with ``remember``,
     ``seen``. Only versions below this one are read, so a repeated run writes the same rows.
@@ -30,11 +30,14 @@ def run_collect(
     seen = seen_fingerprints(spark, f"{root}/seen", before=version) if remember else None
     if options.run_id is None:
         options = replace(options, run_id=f"{options.run_ts}/{version}")
-    result = collect(plan, raw_pages, options, stored, seen, stage, landed_only)
-    write_version(result.changes, f"{root}/articles", version)
-    write_version(result.items, f"{root}/write_log", version)
-    write_version(result.outcomes, f"{root}/outcomes", version)
-    if remember:
-        write_version(result.new_seen, f"{root}/seen", version)
-    result.report.write.mode("overwrite").json(f"{root}/report/version={version}")
-    return result
+    report = f"{root}/report/version={version}"
+    with Staging(spark) as staged:
+        result = collect(plan, raw_pages, options, stored, seen, staged, landed_only)
+        write_version(result.changes, f"{root}/articles", version)
+        write_version(result.items, f"{root}/write_log", version)
+        write_version(result.outcomes, f"{root}/outcomes", version)
+        if remember:
+            write_version(result.new_seen, f"{root}/seen", version)
+        rows = result.report
+        rows.write.mode("overwrite").json(report)
+    return spark.read.schema(rows.schema).json(report)

@@ -35,7 +35,7 @@ from newsloom.operators.upsert import plan_by_url, plan_with_unique_fingerprint,
 from newsloom.plans.collect import CollectResult, Options, collect
 from newsloom.plans.json_ingest import ingest_json_listing
 from newsloom.plans.samples import document_items, document_web, escaped, table
-from newsloom.session import configure
+from newsloom.session import configure, spread
 from newsloom.sources.json_listing import listing_items as json_items
 from newsloom.sources.landed import join_pages
 from newsloom.sources.portals import build_page_plan, config_violations
@@ -194,7 +194,7 @@ SELECT page_id, CAST(position AS INTEGER) AS position,
 FROM li WHERE trim(href) <> ''
 """)
 def listing_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = spread(table(spark, sf_dir, "pages"))
     items = linked_items(listing_items(F.col("html"), F.lit(NAV_OPTIONS)))
     rows = pages.select("page_id", "url", F.posexplode(items).alias("pos", "item"))
     return rows.select(
@@ -218,7 +218,7 @@ FROM pages
 def article_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newsloom.functions.text import collapse_text
 
-    pages = table(spark, sf_dir, "pages")
+    pages = spread(table(spark, sf_dir, "pages"))
     parsed = pages.select("page_id", article_parts(F.col("html"), F.lit(PAGE_OPTIONS)).alias("a"))
     return parsed.select(
         "page_id",
@@ -238,7 +238,7 @@ FROM pages
 """)
 def selector_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     selectors = {"title": "article > h1", "link": "nav ul > li a[href]", "author": ".author, #author"}
-    rows = table(spark, sf_dir, "pages").select("page_id", extract_fields(F.col("html"), selectors).alias("f"))
+    rows = spread(table(spark, sf_dir, "pages")).select("page_id", extract_fields(F.col("html"), selectors).alias("f"))
     value = lambda key: F.try_element_at("f", F.lit(key))
     return rows.select(
         "page_id", value("title").alias("title"), value("link").alias("first_link"), value("author").alias("author"),
@@ -255,7 +255,7 @@ SELECT page_id, trim(part || repeat('</p>', len(regexp_extract_all(part, '<p>'))
 """)
 def sanitize_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     article = F.regexp_extract("html", "(?s)<article>(.*)</article>", 1)
-    return table(spark, sf_dir, "pages").select("page_id", sanitize_html(article).alias("safe_html"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", sanitize_html(article).alias("safe_html"))
 
 
 @query(rf"""
@@ -266,7 +266,7 @@ def sanitize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<div class="c"><style>p{}</style><p onclick="bad()" title="'), F.col("lang"), F.lit('"><span><b>'),
         escaped(F.col("text")), F.lit('</b></span><br></p><a href=" JavaScript:x()">x</a><script>y("<p>")</script></div>'),
     )
-    return table(spark, sf_dir, "documents").select("doc_id", sanitize_html(html).alias("safe_html"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", sanitize_html(html).alias("safe_html"))
 
 
 # scalar functions ------------------------------------------------------------------------
@@ -274,7 +274,7 @@ def sanitize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of documents wrapped in markup, so that every row goes through the parser."""
     html = F.concat(F.lit("<div>"), escaped(F.col("text")), F.lit("<script>x</script></div>"))
-    return table(spark, sf_dir, "documents").select("doc_id", html_to_text(html).alias("content_text"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", html_to_text(html).alias("content_text"))
 
 
 @query("""
@@ -524,7 +524,7 @@ SELECT doc_id, CASE WHEN n_chars > 1000 THEN lang ELSE coalesce(nullif(summary,
 """)
 def build_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical rows: cleaning, summary, title and metadata defaults."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     long = F.col("n_chars") > 500
     items = docs.select(
         "doc_id",

@@ -69,12 +69,43 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage like a checkpoint, survives lost executors, and the columnar copy lets
     every later branch read only the columns it needs instead of repeating the extraction.
     """
-    spark = df.sparkSession
-    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return _write_and_read(df, f"{staging_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Staging:
+    """:func:`stage` for one run: all copies lie in one folder that goes away with the run."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self.path = f"{staging_root(spark)}/run-{uuid.uuid4().hex}"
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        return _write_and_read(df, f"{self.path}/{name}-{uuid.uuid4().hex}")
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        folder = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def unstaged(df: DataFrame, name: str) -> DataFrame:
     """Stand-in for :func:`stage` that keeps the plan lazy."""
     return df
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan of few splits to all cores before per-row Python work.
+
+    Looks at the splits only. A scan that already has a split per core is left as it is, so
+    large tables are never moved.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan.rdd.getNumPartitions()
+    return scan if splits >= cores else scan.repartition(min(cores, 8 * splits))

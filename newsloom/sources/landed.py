@@ -42,14 +42,19 @@ def fetch_failed(status_code: Column) -> Column:
     return status_code.isNull() | (status_code >= 400)
 
 
-def join_pages(requests: DataFrame, raw_pages: DataFrame, url: str = "request_url") -> DataFrame:
-    """Left join to the landed page; unmatched or refused requests get ``error_kind='fetch'``."""
+def join_pages(requests: DataFrame, raw_pages: DataFrame, url: str = "request_url", how: str = "left") -> DataFrame:
+    """Join requests to their landed page; refused requests get ``error_kind='fetch'``.
+
+    ``left`` also keeps the requests without a page, as fetch errors. ``inner`` leaves them out,
+    which lets Spark broadcast a small request side instead of shuffling the HTML; callers find
+    the missing ones by their order afterwards.
+    """
     pages = raw_pages.select(
         F.col("request_url").alias("_landed_url"),
         F.coalesce("final_url", "request_url").alias("final_url"),
         "status_code",
         F.when(~fetch_failed(F.col("status_code")), F.coalesce("html", F.lit(""))).alias("html"),
     )
-    joined = requests.join(pages, requests[url] == pages["_landed_url"], "left")
+    joined = requests.join(pages, requests[url] == pages["_landed_url"], how)
     error = F.when(fetch_failed(F.col("status_code")), F.lit(FETCH_ERROR))
     return joined.withColumn("error_kind", error).drop("_landed_url", "status_code")
