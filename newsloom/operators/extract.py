@@ -18,7 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from newsloom import schemas as S
 from newsloom.functions.text import collapse_text
-from newsloom.operators.html import DEFAULT_ALLOWED_TAGS, RAW_TEXT_TAGS, Element, Page
+from newsloom.operators.html import DEFAULT_ALLOWED_TAGS, RAW_TEXT_TAGS, Element, Page, collapsed
 
 LISTING_RESULT = T.ArrayType(S.LISTING_ITEM)
 FIELD_MAP = T.MapType(T.StringType(), T.StringType())
@@ -97,7 +97,9 @@ def _listing_items(html: str | None, options_text: str | None) -> list[dict] | N
     return items
 
 
-def _article_parts(html: str | None, options_text: str | None, keep_body: bool = True) -> dict | None:
+def _article_parts(
+    html: str | None, options_text: str | None, keep_body: bool = True, summary_html: str | None = None
+) -> dict | None:
     options = _options(options_text)
     page = _parsed(html)
     body = page.first(options.get("body_selector") or "") if page else None
@@ -112,10 +114,16 @@ def _article_parts(html: str | None, options_text: str | None, keep_body: bool =
         "meta": meta,
         "lists": lists,
         "safe_html": page.sanitized(options["allowed"], body),
-        "text": page.text(body, RAW_TEXT_TAGS),
+        "text": collapsed(page.text(body, RAW_TEXT_TAGS)),
+        "summary": _clean_text(meta.get("summary_html", summary_html)),
     }
 
 
+def _clean_text(html: str | None) -> str | None:
+    page = _parsed(html) if html is not None else None
+    return collapsed(page.text(None, RAW_TEXT_TAGS)) if page else None
+
+
 def _cleaned(html: str | None, options_text: str | None) -> dict | None:
     if html is None:
         return None
@@ -124,7 +132,7 @@ def _cleaned(html: str | None, options_text: str | None) -> dict | None:
         return None
     return {
         "safe_html": page.sanitized(_options(options_text)["allowed"]),
-        "text": page.text(None, RAW_TEXT_TAGS),
+        "text": collapsed(page.text(None, RAW_TEXT_TAGS)),
     }
 
 
@@ -151,9 +159,9 @@ def _listing_udf(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Ar
 
 
 @F.arrow_udf(S.ARTICLE_PARTS)
-def _article_udf(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for html, options, keep_body in batches:
-        yield _arrow(_article_parts, _ARTICLE_ARROW, html, options, keep_body)
+def _article_udf(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for html, options, keep_body, summary_html in batches:
+        yield _arrow(_article_parts, _ARTICLE_ARROW, html, options, keep_body, summary_html)
 
 
 @F.arrow_udf(S.CLEANED)
@@ -179,12 +187,16 @@ def linked_items(items: Column) -> Column:
     return F.filter(items, lambda item: item["href"] != "")
 
 
-def article_parts(html: Column, options: Column, keep_body: bool = True) -> Column:
-    """Body, title, metadata, safe HTML and raw text of an article page; null without a body.
+def article_parts(
+    html: Column, options: Column, keep_body: bool = True, summary_html: Column | None = None
+) -> Column:
+    """Body, title, metadata, safe HTML and clean text of an article page; null without a body.
 
-    The collect job stores safe HTML only and leaves the original body out.
+    ``summary`` is the clean text of the page's own ``summary_html``, else of the given one. The
+    collect job stores safe HTML only and leaves the original body out.
     """
-    return _article_udf(html, options, F.lit(keep_body))
+    given = F.lit(None).cast("string") if summary_html is None else summary_html
+    return _article_udf(html, options, F.lit(keep_body), given)
 
 
 def extract_fields(html: Column, selectors: dict[str, str]) -> Column:
@@ -201,7 +213,7 @@ def missing_fields(fields: Column, required: tuple[str, ...] = ("title", "body")
 
 
 def clean(html: Column, allowed_tags: tuple[str, ...] | None = None) -> Column:
-    """Struct of ``safe_html`` and raw ``text`` from one parse."""
+    """Struct of ``safe_html`` and clean ``text`` from one parse."""
     return _clean_udf(html, F.lit(json.dumps({"allowed_tags": list(allowed_tags)}) if allowed_tags else "{}"))
 
 
@@ -213,4 +225,4 @@ def html_to_text(html: Column) -> Column:
     """Clean text of an HTML fragment. Text without markup or entities never leaves the JVM."""
     has_markup = html.rlike("[<&]")
     parsed = _clean_udf(F.when(has_markup, html), F.lit("{}"))["text"]
-    return collapse_text(F.when(has_markup, parsed).otherwise(html))
+    return F.when(has_markup, parsed).otherwise(collapse_text(html))

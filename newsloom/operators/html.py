@@ -174,6 +174,14 @@ class Page(HTMLParser):
         return "".join(out).strip()
 
 
+def collapsed(text: str) -> str:
+    """One blank between words, none at the ends and none before ``!?.,;:``."""
+    text = " ".join(text.split())
+    for mark in "!?.,;:":
+        text = text.replace(" " + mark, mark)
+    return text
+
+
 # Browsers ignore these characters in front of and inside a URL scheme.
 _IGNORED_IN_SCHEME = re.compile(r"[\x00-\x20]+")
 
@@ -259,4 +267,4 @@ def _add(step: Step, mark: str, name: str) -> None:
         step.tag = name.lower()
 
 
-__all__ = ["DEFAULT_ALLOWED_TAGS", "RAW_TEXT_TAGS", "Element", "Page", "compile_selector"]
+__all__ = ["DEFAULT_ALLOWED_TAGS", "RAW_TEXT_TAGS", "Element", "Page", "collapsed", "compile_selector"]

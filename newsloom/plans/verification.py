@@ -35,7 +35,7 @@ from newsloom.operators.upsert import plan_by_url, plan_with_unique_fingerprint,
 from newsloom.plans.collect import CollectResult, Options, collect
 from newsloom.plans.json_ingest import ingest_json_listing
 from newsloom.plans.samples import document_items, document_web, escaped, table
-from newsloom.session import configure, spread
+from newsloom.session import configure, spread, stage
 from newsloom.sources.json_listing import listing_items as json_items
 from newsloom.sources.landed import join_pages
 from newsloom.sources.portals import build_page_plan, config_violations
@@ -124,9 +124,9 @@ def pagination_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _config_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One portal configuration per supplier; a negative balance leaves the writer out."""
+    """One portal configuration per supplier; a low balance leaves the writer out."""
     component = F.struct(F.lit("a:b").alias("factory"))
-    writer = F.when(F.col("s_acctbal") >= 0, component)
+    writer = F.when(F.col("s_acctbal") >= 5000, component)
     meta = F.struct(F.col("s_nationkey").cast("string").alias("nation"), F.lit("x, y").alias("tags"))
     page = lambda n, own: F.struct(
         F.concat(F.lit(f"https://h.example/{n}/"), F.col("s_suppkey").cast("string")).alias("url"), own.alias("metadata")
@@ -145,7 +145,7 @@ def _config_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT s_name AS file, 'component writer is required' AS rule FROM supplier WHERE s_acctbal < 0
+SELECT s_name AS file, 'component writer is required' AS rule FROM supplier WHERE s_acctbal < 5000
 """)
 def config_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return config_violations(_config_texts(spark, sf_dir))
@@ -216,14 +216,12 @@ SELECT page_id, {_SQL_UNESCAPE.format("trim(regexp_extract(html, '<h1>([^<]*)</h
 FROM pages
 """)
 def article_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from newsloom.functions.text import collapse_text
-
     pages = spread(table(spark, sf_dir, "pages"))
     parsed = pages.select("page_id", article_parts(F.col("html"), F.lit(PAGE_OPTIONS)).alias("a"))
     return parsed.select(
         "page_id",
         F.col("a.title_text").alias("title"),
-        collapse_text(F.col("a.text")).alias("content_text"),
+        F.col("a.text").alias("content_text"),
         F.try_element_at("a.meta", F.lit("lang")).alias("lang"),
         F.size(F.try_element_at("a.lists", F.lit("links"))).alias("n_links"),
     )
@@ -546,7 +544,8 @@ def build_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # the whole job --------------------------------------------------------------------------------------
 def collected(spark: SparkSession, sf_dir: str, on_error: str = "skip", **options: object) -> CollectResult:
     plan, raw_pages = document_web(spark, sf_dir)
-    return collect(plan, raw_pages, Options(run_ts=RUN_TS, on_error=on_error, **options))
+    landed = stage(raw_pages, "landed")
+    return collect(plan, landed, Options(run_ts=RUN_TS, on_error=on_error, **options))
 
 
 _SQL_COLLECT = rf"""d AS (
