@@ -205,7 +205,8 @@ def listing_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SQL_UNESCAPE = "replace(replace({}, '&quot;', '\"'), '&amp;', '&')"
+# The two entities of the pages; HTML decodes them also where the semicolon was cut off.
+_SQL_UNESCAPE = "regexp_replace(regexp_replace({}, '&quot;?', '\"', 'g'), '&amp;?', '&', 'g')"
 
 
 @query(rf"""
@@ -244,9 +245,9 @@ def selector_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(r"""
+@query(rf"""
 WITH body AS (
-  SELECT page_id, regexp_replace(replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '&quot;', '"'),
+  SELECT page_id, regexp_replace(replace({_SQL_UNESCAPE.format("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")}, '&', '&amp;'),
     '(?s)<!--.*?-->|</?(?:h1|b|div|span)(?: [^>]*)?>', '', 'g') AS part FROM pages)
 SELECT page_id, trim(part || repeat('</p>', len(regexp_extract_all(part, '<p>')) - len(regexp_extract_all(part, '</p>'))))
   AS safe_html FROM body
