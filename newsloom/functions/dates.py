@@ -20,6 +20,7 @@ _CLOCK = r"(?:\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?)?$"
 _YMD = r"^(\d{4})-(\d{1,2})-(\d{1,2})" + _CLOCK
 _DMY = r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _CLOCK
 
+# The relative words that are understood.
 TODAY_WORDS = ("hoje", "today")
 YESTERDAY_WORDS = ("ontem", "yesterday")
 

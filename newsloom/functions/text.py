@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Unicode white space plus the four separators 1C-1F, which count as white space in the
 # collected text but not in Java's \s.
 SPACE = r"[\s\x1c-\x1f]"
+# Fixed value: title of an article that has none.
 DEFAULT_TITLE = "Sem título"
 
 

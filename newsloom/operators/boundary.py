@@ -32,13 +32,16 @@ def running_offset(counts: DataFrame, keys: Sequence[str], pos: str, count: str,
 
 
 def page_status(pages: DataFrame, failed_pages: DataFrame, on_error: str) -> DataFrame:
-    """Add ``page_state`` to pages: ``fetched``, ``error`` or ``not_run``.
+    """Add ``page_state`` to pages.
 
-    With ``abort`` the first failing page of a portal ends that portal: it yields nothing and the
-    later pages never run. With ``skip`` failures stay with the single request or item.
+    With ``abort`` the first failing page of a portal is an ``error`` and ends that portal: it
+    yields nothing and the later pages are ``not_run``. With ``skip`` a failing page is
+    ``skipped``: it loses the requests that failed, and the portal goes on. Others are ``fetched``.
     """
     if on_error == "skip":
-        return pages.withColumn("page_state", F.lit("fetched"))
+        lost = failed_pages.select("portal_idx", "page_index", F.lit("skipped").alias("page_state")).distinct()
+        joined = pages.join(lost, ["portal_idx", "page_index"], "left")
+        return joined.withColumn("page_state", F.coalesce("page_state", F.lit("fetched")))
     if on_error != "abort":
         raise ValueError("on_error must be 'abort' or 'skip'")
     first = failed_pages.groupBy("portal_idx").agg(F.min("page_index").alias("abort_page"))

@@ -26,6 +26,7 @@ from newsloom.functions.metadata import has_key, merge_maps, set_default
 from newsloom.functions.tags import normalize_list, split_tags
 from newsloom.functions.text import strip
 
+# The sections every configuration must hold.
 COMPONENTS = ("scraper", "url_normalizer", "date_normalizer", "text_cleaner", "deduper", "writer")
 
 _S = T.StringType()

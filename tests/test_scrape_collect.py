@@ -148,6 +148,10 @@ def test_missing_listing_page_aborts(spark, tmp_path):
     result = collect(plan_of(spark, tmp_path, config()), landed(spark, pages), Options(run_ts="2024-02-01", on_error="abort"))
     assert result.outcomes.count() == 0 and result.changes.count() == 0
     assert result.metrics.first().failed
+    skipped = collect(plan_of(spark, tmp_path, config()), landed(spark, pages), OPTIONS)
+    metrics = skipped.metrics.first()
+    assert (metrics.processed, metrics.pages_total, metrics.pages_fetched, metrics.failed) == (2, 1, 0, False)
+    assert [r["items"] for r in skipped.per_page.collect()] == [2] and skipped.report.count() == 1
 
 
 def _items(spark, rows):
@@ -167,16 +171,16 @@ def _pages(spark, n):
 
 def test_collect_items_counts(spark):
     rows = [
-        (1, 1, "/item-1", "Primeiro", "<p>conteudo 1</p>", "<p>resumo 1</p>", ["news"], "2024-01-01T10:00:00"),
-        (1, 2, "/item-1", "Duplicado por URL", "<p>1b</p>", None, [], None),
-        (2, 1, "/item-2", "Primeiro", "<p>conteudo 2</p>", None, [], None),
+        (1, 1, "/nota", "Chuva", "<p>choveu</p>", "<p>chuva forte</p>", ["tempo"], "2024-03-02T08:15:00"),
+        (1, 2, "/nota", "Outra vez", "<p>choveu mais</p>", None, [], None),
+        (2, 1, "/outra", "Chuva", "<p>ainda chove</p>", None, [], None),
     ]
     result = collect_items(_items(spark, rows), _pages(spark, 2), Options(run_ts="2024-01-01 12:00:00", fields="title"))
     metrics = result.metrics.first()
     assert (metrics.processed, metrics.skipped) == (1, {"fingerprint": 1, "url": 1})
     assert (metrics.pages_total, metrics.pages_fetched) == (2, 2)
     doc = result.changes.first()
-    assert doc.url == "https://example.com/item-1" and doc.raw_meta["section"] == "home" and doc.summary == "resumo 1"
+    assert doc.url == "https://example.com/nota" and doc.raw_meta["section"] == "home" and doc.summary == "chuva forte"
     assert result.items.first().status == "inserted"
 
 
