@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,12 +27,23 @@ SQL_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SQL_SETTINGS` to a running session."""
+    """Apply :data:`SQL_SETTINGS` to a running session and give its workers this package."""
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    _ship(spark)
     return spark
 
 
+def _ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers once, as an archive that Spark distributes."""
+    package = Path(__file__).resolve().parent
+    if not package.is_dir() or spark.conf.get("spark.newsloom.shipped", None) == spark.sparkContext.applicationId:
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='newsloom-')}/newsloom", "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("spark.newsloom.shipped", spark.sparkContext.applicationId)
+
+
 def local_session(cpus: int | str = 8, app: str = "newsloom", **extra: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
