@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm.components import Keep, components
@@ -231,8 +231,9 @@ def near_duplicates(
     1. Documents with equal sets are one class; its smallest id stands for it.
     2. In every band bucket each member is compared with the bucket's smallest one: as many
        pairs as members, however large the bucket.
-    3. Only where a bucket still holds several components, members of different components are
-       compared as well, so no link is lost and a group of copies is never expanded.
+    3. Members of buckets that still hold several components meet again on their rarest
+       shingles (:func:`_prefix_pairs`), so no link is lost and a group of copies is never
+       expanded into all its pairs.
 
     Null and empty texts have no words: an empty set, linked with nothing, kept. Rows that
     repeat an id are one document and share its result. A row without an id stays, alone. An
@@ -280,13 +281,45 @@ def _links(found: DataFrame, members: DataFrame, texts: DataFrame, options: Sket
         .withColumn("component", F.coalesce("component", "doc_id"))
     )
     split = open_rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_rows = keep(open_rows.join(split.where("low < high").select("key"), "key", "left_semi"), "open")
-    left, right = open_rows.alias("l"), open_rows.alias("r")
-    rest = (
-        left.join(right, F.col("l.key") == F.col("r.key"))
-        .where("l.component < r.component AND l.doc_id <> l.centre AND r.doc_id <> r.centre")
+    split = split.where("low < high").select("key")
+    left_open = keep(open_rows.join(split, "key", "left_semi").select("doc_id", "component").distinct(), "open")
+    rest = keep(_prefix_pairs(left_open, full, options), "rest")
+    return links.union(_verified(rest, full, options))
+
+
+def _prefix_pairs(members: DataFrame, full: DataFrame, options: SketchOptions) -> DataFrame:
+    """Pairs of ``members`` in different components that can still link.
+
+    A filter on the sets that loses no link: with shingles in one order, rarest first, two
+    sets that link share one among the first ``n - ceil(t n) + 1`` of each, and at the first
+    shared one enough of both sets must still follow. Edits make rare shingles, which come
+    first, so the many copies of one text do not meet on its common shingles. Per shingle only
+    members outside its most frequent component look for partners.
+    """
+    percent = options.percent
+    each = full.join(members, "doc_id").select(
+        "doc_id", "component", "n_shingles", F.explode("shingles").alias("shingle")
+    )
+    spread = each.groupBy("shingle").agg(F.count("*").alias("documents"))
+    order = Window.partitionBy("doc_id").orderBy("documents", "shingle")
+    first = (
+        each.join(spread, "shingle")
+        .withColumn("place", F.row_number().over(order) - 1)
+        .where(F.col("place") <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100))
+        .where("documents > 1")
+    )
+    counts = first.groupBy("shingle", "component").agg(F.count("*").alias("rows"))
+    main = counts.groupBy("shingle").agg(F.max_by("component", F.struct("rows", "component")).alias("main"), F.count("*").alias("kinds"))
+    first = first.join(main.where("kinds > 1").select("shingle", "main"), "shingle")
+    need = (F.col("l.n_shingles") + F.col("r.n_shingles")) * percent / (100 + percent)
+    follow = F.least(F.col("l.n_shingles") - F.col("l.place"), F.col("r.n_shingles") - F.col("r.place"))
+    return (
+        first.where("component <> main")
+        .alias("l")
+        .join(first.alias("r"), F.col("l.shingle") == F.col("r.shingle"))
+        .where("l.component <> r.component")
         .where(_close_in_size("l.n_shingles", "r.n_shingles", options))
-        .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b"))
+        .where(follow + 1e-6 >= need)
+        .select(F.least("l.doc_id", "r.doc_id").alias("a"), F.greatest("l.doc_id", "r.doc_id").alias("b"))
         .distinct()
     )
-    return links.union(_verified(keep(rest, "rest"), full, options))
