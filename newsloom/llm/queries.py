@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsloom.llm import setsketch
+from newsloom.llm import anchors, packing, setsketch
 from newsloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op7_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), setsketch.CONTRACT)
+
+
+@query
+def op9_fixed_block_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = anchors.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("repeats", F.lit(0).cast("long"), lambda total, x: total + (x["finish"] - x["begin"]))
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+@query
+def op10_least_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = packing.PackOptions(tokenizer=public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed(table(spark, sf_dir, "documents"), options)
