@@ -14,6 +14,7 @@ are combined first: a passage in a third of all documents sends one entry per sl
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -74,7 +75,7 @@ def _rows(entries: _Entries, known: np.ndarray, sent: np.ndarray, buckets: int)
     """Known places in one row; the sent ones, which are in bucket order, in one row per bucket."""
     rows = []
     if len(known):
-        rows.append(entries.row(int(entries.buckets[known[0]]), True, known))
+        rows.append(entries.row(zlib.crc32(entries.ids.tobytes()) % buckets, True, known))
     cuts = np.searchsorted(entries.buckets[sent], np.arange(buckets + 1))
     for bucket in np.flatnonzero(np.diff(cuts)):
         rows.append(entries.row(int(bucket), False, sent[cuts[bucket] : cuts[bucket + 1]]))

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import anchors, packing, setsketch
+from newsloom.llm import anchors, decontamination, packing, personal, setsketch
+from newsloom.llm.tables import texts_by_id
 from newsloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +47,16 @@ def op9_fixed_block_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_least_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = packing.PackOptions(tokenizer=public_tokenizers.path("word_bpe_49k.json"))
     return packing.packed(table(spark, sf_dir, "documents"), options)
+
+
+@query
+def op5_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_boosted_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = personal.personal_data(documents, personal.fit(texts_by_id(documents)))
+    count = lambda kind: F.regexp_count("base", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, personal.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")

@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
 
 # The pre-token classes of the tokenizer within Latin-1, where lower-casing is one to one and
 # normalization changes nothing: letters, single numbers, runs of anything else.
@@ -18,7 +17,7 @@ _NUMBERS = "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe"
 _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xff]*")
 _PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
 _SPECIAL = "<|"
-MEMORY = 400_000  # words a worker remembers, about 80 MB; then it begins anew
+MEMORY = 1_000_000  # words a worker remembers, about 150 MB; then it begins anew
 
 
 class WordTokens:
@@ -42,7 +41,7 @@ class WordTokens:
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         done = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in done]
+        return [array("I", x.ids).tobytes() for x in done]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts; null is empty."""
