@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import anchors, decontamination, packing, personal, setsketch
+from newsloom.llm import anchors, decontamination, packing, personal, quality, quartiles, setsketch
 from newsloom.llm.tables import texts_by_id
 from newsloom.session import configure
 
@@ -60,3 +60,17 @@ def op8_boosted_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal.personal_data(documents, personal.fit(texts_by_id(documents)))
     count = lambda kind: F.regexp_count("base", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *map(count, personal.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op3_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, options = table(spark, sf_dir, "documents"), quality.FmOptions()
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    machine = quality.fit(documents, table(spark, sf_dir, "labels"), ~held_out, options)
+    found = quality.scored(documents, machine, options)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op6_quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quartiles.compared(table(spark, sf_dir, "documents"))
