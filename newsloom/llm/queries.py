@@ -5,10 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import anchors, decontamination, packing, personal, quality, quartiles, setsketch
+from newsloom.llm import (
+    anchors,
+    decontamination,
+    language,
+    licences,
+    packing,
+    personal,
+    quality,
+    quartiles,
+    setsketch,
+    token_counts,
+)
 from newsloom.llm.tables import texts_by_id
 from newsloom.session import configure
 
@@ -74,3 +85,53 @@ def op3_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_quartile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quartiles.compared(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, options = table(spark, sf_dir, "documents"), language.LanguageOptions()
+    model = language.fit(documents, options)
+    return language.identified(language.document_evidence(documents), model, options)
+
+
+@query
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator with all four kinds of evidence: raw pages."""
+    options = language.LanguageOptions()
+    model = language.fit(table(spark, sf_dir, "documents"), options)
+    found = language.identified(language.page_evidence(table(spark, sf_dir, "pages")), model, options)
+    return found.withColumnRenamed("doc_id", "page_id")
+
+
+@query
+def op2_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document is edited three times: a cut, a copied passage and a replacement."""
+    options = token_counts.CountOptions(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    index = token_counts.indexed(table(spark, sf_dir, "documents"), options)
+    size = F.char_length("text")
+    part = F.greatest(F.lit(1), F.floor(size / 50)).cast("int")
+
+    def edit(place: Column, removed: Column, added: Column) -> Column:
+        return F.struct(place.cast("int").alias("place"), removed.alias("removed"), added.alias("added"))
+
+    edits = F.array(
+        edit(F.floor(size / 4), part, F.lit("")),
+        edit(F.floor(size / 2), F.lit(0), F.right("text", part)),
+        edit(F.floor(size * 3 / 4), part, F.concat(F.lit(" "), F.col("doc_id").cast("string"))),
+    )
+    found = token_counts.recounted(index, edits, options)
+    return found.select(
+        "doc_id",
+        F.col("n_before").alias("n_tokens"),
+        F.get("tokens", F.lit(1)).cast("long").alias("n_tokens_edited"),
+        F.char_length("text").cast("long").alias("n_chars_edited"),
+        "n_encoded",
+    )
+
+
+@query
+def op4_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licensed(table(spark, sf_dir, "documents"), licences.known_licences(spark))
+
+
+SQL["op4_licence_digests"] = licences.oracle()
