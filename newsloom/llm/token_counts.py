@@ -172,9 +172,10 @@ def recounted(index: DataFrame, edits: Column, options: CountOptions) -> DataFra
                 tree, encoded = TokenTree(np.array(chars, dtype=np.int32), np.array(tokens, dtype=np.int32)), 0
                 before = tree.total
                 for change in changes if changes is not None else ():
-                    if change is None or change["place"] is None:
+                    if change is None or pd.isna(change["place"]):
                         continue
-                    text, tree, more = tree.edit(text, change["place"], change["removed"] or 0, change["added"] or "", encoder)
+                    removed = 0 if pd.isna(change["removed"]) else int(change["removed"])
+                    text, tree, more = tree.edit(text, int(change["place"]), removed, change["added"] or "", encoder)
                     encoded += more
                 rows.append((doc_id, text, tree.chars, tree.tokens, before, encoded))
             out = pd.DataFrame(rows, columns=["doc_id", "text", "chars", "tokens", "n_before", "n_encoded"])

@@ -1,0 +1,63 @@
+"""The pipeline's decisions, and the registered queries of the subpackage."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from newsloom.llm import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_registered():
+    names = entry.queries()
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"language_of_pages"}))
+def test_one_row_per_document(spark, name):
+    found = queries.QUERIES[name](spark, SF)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert found.select("doc_id").distinct().count() == docs.count()
+    if not name.startswith("op10_"):
+        assert found.count() == docs.count()
+
+
+def test_licences_equal_sql(spark):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    cursor = duck.execute(queries.SQL["op4_licence_digests"])
+    columns = [d[0] for d in cursor.description]
+    got = queries.QUERIES["op4_licence_digests"](spark, SF).select(*columns)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, cursor.fetchall()))
+
+
+def test_stages_take_effect(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    base = docs.where("n_chars > 800").first()
+    made = [
+        (10**6, "123 456 !!", "en", "s", 10),
+        (10**6 + 1, base.text + " more", "en", "s", 0),
+        (10**6 + 2, f"{base.text[::-1]} {bench}", "en", "s", 0),
+        (10**6 + 3, f"{base.text[5:300][::-1]} write to jo.doe@mail.example.com today", "en", "s", 0),
+        (10**6 + 4, None, None, None, None),
+    ]
+    docs = docs.union(spark.createDataFrame(made, docs.schema))
+    counts, kept = [docs.count()], {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name != "packing":
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+            counts.append(docs.count())
+        kept[name] = {r.doc_id for r in docs.select("doc_id").where(f"doc_id >= {10**6}").collect()}
+    top = 10**6
+    assert top not in kept["language"] and top + 4 not in kept["language"] and top + 1 in kept["language"]
+    assert top + 1 not in kept["near_duplicates"] and top + 2 in kept["near_duplicates"]
+    assert top + 2 not in kept["decontamination"] and top + 3 in kept["decontamination"]
+    text = spark.read.parquet(str(tmp_path / "personal_data")).where(f"doc_id = {top + 3}").first()
+    assert "[EMAIL]" in text.text and "jo.doe" not in text.text and text.n_chars == len(text.text)
+    assert counts == sorted(counts, reverse=True) and counts[-1] > 0.8 * counts[0]
+    assert kept["packing"] == {top + 3}
