@@ -124,13 +124,19 @@ def to_absolute(url: Column, base: Column | None = None, default_base: Column |
 
 
 def request_url(url: Column, params: Column) -> Column:
-    """``url`` with the ``array<struct<key,value>>`` of query parameters appended in order."""
+    """``url`` with the ``array<struct<key,value>>`` of query parameters appended in order.
+
+    Parameters go before a fragment, which stays at the end.
+    """
     pairs = F.transform(
         params,
         lambda p: F.concat(F.url_encode(p["key"]), F.lit("="), F.url_encode(F.coalesce(p["value"], F.lit("")))),
     )
-    mark = F.when(F.instr(url, "?") > 0, F.lit("&")).otherwise(F.lit("?"))
-    return F.when(F.coalesce(F.size(params), F.lit(0)) > 0, F.concat(url, mark, F.array_join(pairs, "&"))).otherwise(url)
+    before = F.substring_index(url, "#", 1)
+    fragment = F.substr(url, F.char_length(before) + 1)
+    mark = F.when(F.instr(before, "?") > 0, F.lit("&")).otherwise(F.lit("?"))
+    extended = F.concat(before, mark, F.array_join(pairs, "&"), fragment)
+    return F.when(F.coalesce(F.size(params), F.lit(0)) > 0, extended).otherwise(url)
 
 
 __all__ = ["HIERARCHICAL", "origin_base", "request_url", "to_absolute"]

@@ -37,7 +37,7 @@ def run_collect(
         write_version(result.items, f"{root}/write_log", version)
         write_version(result.outcomes, f"{root}/outcomes", version)
         if remember:
-            write_version(result.new_seen, f"{root}/seen", version)
+            write_version(result.new_seen.filter("NOT fingerprint LIKE 'noop:%'"), f"{root}/seen", version)
         rows = result.report
         rows.write.mode("overwrite").json(report)
     return spark.read.schema(rows.schema).json(report)

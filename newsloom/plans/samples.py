@@ -1,7 +1,8 @@
 """Collect inputs derived from the given tables by Spark, at any scale.
 
 `documents` becomes a small news web: one portal per language, listing pages of fifty documents,
-one article page per distinct text. Short documents have broken article pages.
+one article page per distinct text. A hash of the text decides which article pages are broken.
+Whole texts are summaries; titles come from a hash, so that some texts share one.
 """
 
 from __future__ import annotations
@@ -15,8 +16,7 @@ from newsloom import schemas as S
 from newsloom.functions.urls import to_absolute
 
 PER_PAGE = 50
-TITLE_CHARS, SUMMARY_CHARS = 24, 120
-NO_BODY, REFUSED = 100, 200  # shorter texts: no article body, then a refused page
+NO_BODY, REFUSED = "0", "1"  # first digit of a text's hash: no article body, a refused page
 PORTALS = ("de", "en", "es", "fr")
 LISTING_OPTIONS = {
     "item_selector": "ul.list li.item",
@@ -35,6 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def title_of(text: Column) -> Column:
+    """A title that few texts share: by three digits of the hash of the whole text."""
+    return F.concat(F.lit("Nota "), F.substring(F.sha2(text, 256), 1, 3))
+
+
 def escaped(text: Column) -> Column:
     amp = F.replace(text, F.lit("&"), F.lit("&amp;"))
     return F.replace(F.replace(amp, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
@@ -57,17 +62,15 @@ def _host(lang: Column) -> Column:
 
 def article_pages(docs: DataFrame) -> DataFrame:
     """One landed page per distinct text of a language."""
-    distinct = docs.groupBy("lang", F.sha2("text", 256).alias("slug")).agg(
-        F.any_value("text").alias("text"), F.any_value("n_chars").alias("n_chars")
-    )
+    distinct = docs.groupBy("lang", F.sha2("text", 256).alias("slug")).agg(F.any_value("text").alias("text"))
     text = F.col("text")
     body = _html('<div class="content" onclick="x()"><p>', escaped(text), '</p><script>track("</p>")</script></div>')
     html = _html(
         "<!DOCTYPE html><html><head><title>t</title></head><body><!-- ad --><article data-section=\"",
-        F.col("lang"), '"><h1>', escaped(F.substring(text, 1, TITLE_CHARS)), "</h1>",
-        F.when(F.col("n_chars") < NO_BODY, F.lit("<br>")).otherwise(body), "</article></body></html>",
+        F.col("lang"), '"><h1>', title_of(text), "</h1>",
+        F.when(F.col("slug").startswith(NO_BODY), F.lit("<br>")).otherwise(body), "</article></body></html>",
     )
-    refused = (F.col("n_chars") >= NO_BODY) & (F.col("n_chars") < REFUSED)
+    refused = F.col("slug").startswith(REFUSED)
     return distinct.select(
         _html(_host(F.col("lang")), "/a/", F.col("slug")).alias("request_url"),
         F.lit(None).cast("string").alias("final_url"),
@@ -80,10 +83,10 @@ def article_pages(docs: DataFrame) -> DataFrame:
 def _listing_chunks(docs: DataFrame) -> DataFrame:
     """Items grouped by page; a page holds at most fifty because `doc_id` is unique."""
     text = F.col("text")
-    date = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.least("n_chars", F.lit(9000)).cast("int")), "dd/MM/yyyy")
+    date = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n_chars") % 9000).cast("int")), "dd/MM/yyyy")
     item = _html(
-        '<li class="item"><a href="/a/', F.sha2(text, 256), '">', escaped(F.substring(text, 1, TITLE_CHARS)),
-        '</a><div class="summary">', escaped(F.substring(text, 1, SUMMARY_CHARS)), '</div><span class="tag">', F.col("lang"),
+        '<li class="item"><a href="/a/', F.sha2(text, 256), '">', title_of(text),
+        '</a><div class="summary">', escaped(text), '</div><span class="tag">', F.col("lang"),
         '</span><span class="tag"> ', F.col("source"), ' </span><time class="date">', date, "</time></li>",
     )
     chunk = F.floor(F.col("doc_id") / PER_PAGE)
@@ -128,7 +131,7 @@ def document_web(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 def document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as scraped items of one portal per language, fifty to a page."""
     docs = table(spark, sf_dir, "documents")
-    slug = F.sha2(F.substring("text", 1, TITLE_CHARS), 256)
+    slug = F.substring(F.sha2("text", 256), 1, 3)
     return docs.select(
         portal_index(F.col("lang")).alias("portal_idx"),
         F.col("lang").alias("portal"),

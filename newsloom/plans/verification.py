@@ -34,10 +34,10 @@ from newsloom.operators.paginate import expand_requests
 from newsloom.operators.upsert import plan_by_url, plan_with_unique_fingerprint, upserted, write_log
 from newsloom.plans.collect import CollectResult, Options, collect
 from newsloom.plans.json_ingest import ingest_json_listing
-from newsloom.plans.samples import document_items, document_web, escaped, table
+from newsloom.plans.samples import document_items, document_web, escaped, table, title_of
 from newsloom.session import configure, spread, stage
 from newsloom.sources.json_listing import listing_items as json_items
-from newsloom.sources.landed import join_pages
+from newsloom.sources.landed import join_pages, latest_pages
 from newsloom.sources.portals import build_page_plan, config_violations
 
 RUN_TS = "2024-06-01 12:00:00"
@@ -344,14 +344,14 @@ def metadata_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, sha256(concat_ws('␟', 'v1', text, CASE WHEN n_chars >= 500 THEN source END,
+SELECT doc_id, sha256(concat_ws('␟', 'v1', text, CASE WHEN doc_id % 3 > 0 THEN source END,
   array_to_string(list_sort([lang, source]), '␞'))) AS fingerprint, 'noop:' || source AS noop FROM documents
 """)
 def fingerprint_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newsloom.functions.fingerprint import noop_fingerprint
 
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "text", "source", F.when(F.col("n_chars") >= 500, F.col("source")).alias("long_source"),
+        "doc_id", "text", "source", F.when(F.col("doc_id") % 3 > 0, F.col("source")).alias("long_source"),
         F.array("source", "lang").alias("tags"),
     )
     return docs.select(
@@ -364,7 +364,7 @@ def fingerprint_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # dedup --------------------------------------------------------------------------------------
 _SQL_ITEMS = f"""items AS (
   SELECT doc_id, text, n_chars, {_SQL_PORTAL} AS portal_idx, lang, 1 + doc_id // 50 AS page_index,
-    'https://' || lang || '.news.example/a/' || sha256(substr(text, 1, 24)) AS url FROM documents)"""
+    'https://' || lang || '.news.example/a/' || substr(sha256(text), 1, 3) AS url FROM documents)"""
 
 
 @query(f"""
@@ -486,8 +486,8 @@ def json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # normalization -----------------------------------------------------------------------------------
 @query("""
-SELECT doc_id, CASE WHEN n_chars > 300 THEN source ELSE 'Fallback' END AS title, lang AS portal_name,
-  substr(text, 1, 280) AS summary, CASE WHEN n_chars > 900 THEN lang || '|' || source ELSE 'd' END AS tags,
+SELECT doc_id, CASE WHEN doc_id % 4 > 0 THEN source ELSE 'Fallback' END AS title, lang AS portal_name,
+  substr(text, 1, 280) AS summary, CASE WHEN doc_id % 5 > 1 THEN lang || '|' || source ELSE 'd' END AS tags,
   CASE WHEN n_chars % 3 > 0 THEN '2024-01-02 03:04:05' END AS published_at,
   CASE WHEN n_chars % 3 = 2 THEN '2024-01-02T03:04:05' END AS published_at_raw,
   CASE WHEN text = '' OR n_chars % 3 = 0 THEN 'normalize' END AS error_kind
@@ -498,13 +498,13 @@ def simple_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("n_chars") % 3
     raw = table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.when(F.col("n_chars") > 300, F.col("source")).otherwise(F.lit("")).alias("title"),
+        F.when(F.col("doc_id") % 4 > 0, F.col("source")).otherwise(F.lit("")).alias("title"),
         F.col("text").alias("body"),
         merge_maps(
             F.create_map(F.lit("portal_name"), F.col("lang")),
             F.when(kind == 2, F.create_map(F.lit("published_at_raw"), raw_date)),
         ).alias("metadata"),
-        F.when(F.col("n_chars") > 900, F.array("lang", "source")).alias("tags"),
+        F.when(F.col("doc_id") % 5 > 1, F.array("lang", "source")).alias("tags"),
         F.when(kind == 0, F.lit("02/01/2024")).otherwise(raw_date).alias("published_at"),
     )
     rows = simple_normalize(raw, RUN_TS, ["d"], "Fallback")
@@ -515,21 +515,21 @@ def simple_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(rf"""
-WITH c AS (SELECT doc_id, lang, n_chars, {_sql_collapse('text')} AS content_text, {_sql_collapse('substr(text, 1, 40)')} AS short FROM documents),
-s AS (SELECT *, CASE WHEN n_chars > 500 THEN short ELSE content_text END AS summary FROM c)
-SELECT doc_id, CASE WHEN n_chars > 1000 THEN lang ELSE coalesce(nullif(summary, ''), 'Sem título') END AS title,
+WITH c AS (SELECT doc_id, lang, {_sql_collapse('text')} AS content_text, {_sql_collapse('source')} AS short FROM documents),
+s AS (SELECT *, CASE WHEN doc_id % 2 = 1 THEN short ELSE content_text END AS summary FROM c)
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN lang ELSE coalesce(nullif(summary, ''), 'Sem título') END AS title,
   lang AS portal_name, nullif(summary, '') AS summary, content_text, '2024-06-01 12:00:00' AS collected_at,
   '2024-06-01T12:00:00' AS normalized_at FROM s
 """)
 def build_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical rows: cleaning, summary, title and metadata defaults."""
     docs = spread(table(spark, sf_dir, "documents"))
-    long = F.col("n_chars") > 500
+    own_summary = F.col("doc_id") % 2 == 1
     items = docs.select(
         "doc_id",
-        F.when(F.col("n_chars") > 1000, F.col("lang")).alias("title"),
+        F.when(F.col("doc_id") % 3 == 0, F.col("lang")).alias("title"),
         F.concat(F.lit("<p>"), escaped(F.col("text")), F.lit("</p>")).alias("content_html"),
-        F.when(long, F.concat(F.lit("<i>"), escaped(F.substring("text", 1, 40)), F.lit("</i>"))).alias("summary_html"),
+        F.when(own_summary, F.concat(F.lit("<i>"), escaped(F.col("source")), F.lit("</i>"))).alias("summary_html"),
         F.array("source").alias("tags"),
         F.lit(None).cast("string").alias("published_at"),
         F.create_map(F.lit("source"), F.col("source")).alias("metadata"),
@@ -542,19 +542,40 @@ def build_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# landed pages --------------------------------------------------------------------------
+@query("""
+SELECT arg_max(doc_id, (fetched, doc_id)) AS doc_id, request_url, arg_max(status_code, (fetched, doc_id)) AS status_code, arg_max(text, (fetched, doc_id)) AS html
+FROM (SELECT doc_id, text, 'https://' || source || '.example/' || CAST(doc_id % 7 AS VARCHAR) AS request_url,
+    CAST(CASE WHEN doc_id % 10 = 3 THEN 404 ELSE 200 END AS INTEGER) AS status_code, doc_id * 37 % 1009 * 1000000000 + doc_id AS fetched FROM documents)
+GROUP BY request_url
+""")
+def relanded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest row of every URL that was landed again and again."""
+    docs = table(spark, sf_dir, "documents")
+    key = F.col("doc_id")
+    history = docs.select(
+        F.concat(F.lit("https://"), F.col("source"), F.lit(".example/"), (key % 7).cast("string")).alias("request_url"),
+        key.cast("string").alias("final_url"),
+        F.when(key % 10 == 3, F.lit(404)).otherwise(F.lit(200)).alias("status_code"),
+        F.col("text").alias("html"),
+        F.timestamp_micros(key * 37 % 1009 * 1_000_000_000 + key).alias("fetched_at"),
+    )
+    return latest_pages(history).select(F.col("final_url").cast("long").alias("doc_id"), "request_url", "status_code", "html")
+
+
 # the whole job --------------------------------------------------------------------------------------
 def collected(spark: SparkSession, sf_dir: str, on_error: str = "skip", **options: object) -> CollectResult:
     plan, raw_pages = document_web(spark, sf_dir)
     landed = stage(raw_pages, "landed")
-    return collect(plan, landed, Options(run_ts=RUN_TS, on_error=on_error, **options))
+    return collect(plan, landed, Options(run_ts=RUN_TS, on_error=on_error, **options), unique_pages=True)
 
 
 _SQL_COLLECT = rf"""d AS (
   SELECT doc_id, text, n_chars, lang, source, {_SQL_PORTAL} AS portal_idx, 1 + doc_id // 50 AS page_index,
     row_number() OVER (PARTITION BY lang, doc_id // 50 ORDER BY doc_id) AS position,
     'https://' || lang || '.news.example/a/' || sha256(text) AS url,
-    CASE WHEN n_chars < 100 THEN 'parse' WHEN n_chars < 200 THEN 'fetch' END AS error_kind,
-    {_sql_strip('substr(text, 1, 24)')} AS title FROM documents),
+    CASE substr(sha256(text), 1, 1) WHEN '0' THEN 'parse' WHEN '1' THEN 'fetch' END AS error_kind,
+    'Nota ' || substr(sha256(text), 1, 3) AS title FROM documents),
 u AS (SELECT *, row_number() OVER (PARTITION BY portal_idx, url ORDER BY page_index, position) AS un FROM d),
 f AS (SELECT *, CASE WHEN un = 1 AND error_kind IS NULL THEN
     row_number() OVER (PARTITION BY portal_idx, title, un = 1 AND error_kind IS NULL ORDER BY page_index, position) END AS fn FROM u),
@@ -573,11 +594,11 @@ def collect_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(rf"""
 WITH {_SQL_COLLECT}
-SELECT url, lang AS portal_name, title, nullif({_sql_collapse('substr(text, 1, 120)')}, '') AS summary,
+SELECT url, lang AS portal_name, title, nullif({_sql_collapse('text')}, '') AS summary,
   '<p>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p>' AS content_html,
   {_sql_collapse('text')} AS content_text, lang || '|' || source AS tags,
-  strftime(DATE '2024-01-01' + CAST(least(n_chars, 9000) AS INTEGER), '%d/%m/%Y') AS published_at_raw,
-  strftime(DATE '2024-01-01' + CAST(least(n_chars, 9000) AS INTEGER), '%Y-%m-%d 00:00:00') AS published_at,
+  strftime(DATE '2024-01-01' + CAST(n_chars % 9000 AS INTEGER), '%d/%m/%Y') AS published_at_raw,
+  strftime(DATE '2024-01-01' + CAST(n_chars % 9000 AS INTEGER), '%Y-%m-%d 00:00:00') AS published_at,
   sha256('␟' || title) AS fingerprint, lang AS section
 FROM o WHERE outcome = 'persisted'
 """)
@@ -657,9 +678,9 @@ def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     The texts of one language are stored already."""
     docs = table(spark, sf_dir, "documents")
     text = F.col("text")
-    url = F.concat(F.lit("https://news.example/a/"), F.sha2(F.substring(text, 1, 60), 256))
+    url = F.concat(F.lit("https://news.example/a/"), F.substring(F.sha2(text, 256), 1, 3))
     fields = [
-        url.alias("url"), F.col("source").alias("portal_name"), F.substring(text, 1, 24).alias("title"),
+        url.alias("url"), F.col("source").alias("portal_name"), title_of(text).alias("title"),
         F.lit(None).cast("string").alias("summary"), text.alias("content_html"), text.alias("content_text"),
         F.array("lang").alias("tags"), F.lit(None).cast("string").alias("published_at_raw"),
         F.lit(None).cast("timestamp").alias("published_at"), F.lit(RUN_TS).cast("timestamp").alias("collected_at"),
@@ -675,7 +696,7 @@ def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 _SQL_UPSERT = r"""w AS (
-  SELECT doc_id, lang, source, text, 'https://news.example/a/' || sha256(substr(text, 1, 60)) AS url,
+  SELECT doc_id, lang, source, text, 'https://news.example/a/' || substr(sha256(text), 1, 3) AS url,
     CAST(regexp_extract(source, '(\d+)$', 1) AS INTEGER) AS portal_idx FROM documents),
 n AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY portal_idx, doc_id) AS fwd,
     row_number() OVER (PARTITION BY url ORDER BY portal_idx DESC, doc_id DESC) AS bwd,

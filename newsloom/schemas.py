@@ -21,6 +21,14 @@ PAGINATION = T.StructType(
     ]
 )
 
+# The same as users write it: numbers may be text.
+PAGINATION_TEXT = T.StructType(
+    [
+        T.StructField(f.name, T.ArrayType(_S) if f.name == "pages" else f.dataType if f.name == "params" else _S)
+        for f in PAGINATION.fields
+    ]
+)
+
 PAGE_ENTRY = T.StructType(
     [
         T.StructField("url", _S),

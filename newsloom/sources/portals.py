@@ -25,6 +25,7 @@ from newsloom import schemas as S
 from newsloom.functions.metadata import has_key, merge_maps, set_default
 from newsloom.functions.tags import normalize_list, split_tags
 from newsloom.functions.text import strip
+from newsloom.session import stage
 
 # The sections every configuration must hold.
 COMPONENTS = ("scraper", "url_normalizer", "date_normalizer", "text_cleaner", "deduper", "writer")
@@ -34,7 +35,7 @@ _PAGE = T.StructType(
     [
         T.StructField("url", _S),
         T.StructField("metadata", S.STRING_MAP),
-        T.StructField("pagination", S.PAGINATION),
+        T.StructField("pagination", S.PAGINATION_TEXT),
     ]
 )
 _TAG_LIST = T.StructType([T.StructField("tags", S.STRING_LIST)])
@@ -164,7 +165,7 @@ def build_page_plan(
         F.from_json("text", _CONFIG_TAGS).alias("config_tags"),
         F.from_json(pages_text, _CONFIG)["pages"].alias("pages"),
         F.from_json(pages_text, _CONFIG_TAGS)["pages"].alias("pages_tags"),
-        F.from_json(F.to_json(options("scraper", ".pagination")), S.PAGINATION).alias("portal_pagination"),
+        F.from_json(F.to_json(options("scraper", ".pagination")), S.PAGINATION_TEXT).alias("portal_pagination"),
         listing.alias("listing_options"),
         article.alias("article_options"),
         _get(doc, "$.components.url_normalizer.options.default_base_url", "string").alias("default_base"),
@@ -198,10 +199,18 @@ def build_page_plan(
 
 
 def _usable(pagination: Column) -> Column:
-    """An empty pagination object counts as none."""
-    some = F.coalesce(*[pagination[f.name].cast("string") if f.name not in ("pages", "params") else
-                        F.to_json(pagination[f.name]) for f in S.PAGINATION.fields])
-    return F.when(some.isNotNull(), pagination)
+    """Typed pagination: numbers written as text count; an empty object counts as none."""
+    numbers = ("start", "stop", "step", "count", "limit")
+    whole = lambda text: F.trim(text).try_cast("int")
+    typed = F.struct(
+        pagination["param"].alias("param"),
+        *[whole(pagination[name]).alias(name) for name in numbers],
+        F.transform(pagination["pages"], whole).alias("pages"),
+        pagination["params"].alias("params"),
+    )
+    given = [pagination[name] for name in ("param", *numbers)]
+    some = F.coalesce(*given, F.to_json(pagination["pages"]), F.to_json(pagination["params"]))
+    return F.when(some.isNotNull(), typed)
 
 
 def load_page_plan(
@@ -212,7 +221,8 @@ def load_page_plan(
 ) -> DataFrame:
     """Read, validate and plan; any broken rule fails the job before work starts."""
     configs = read_configs(spark, paths, directory)
-    broken = config_violations(configs).take(20)
-    if broken:
-        raise ValueError("invalid portal configuration: " + "; ".join(f"{r.file}: {r.rule}" for r in broken))
+    broken = stage(config_violations(configs), "violations")
+    if count := broken.count():
+        found = (f"{r.file}: {r.rule}" for r in broken.orderBy("file", "rule").toLocalIterator())
+        raise ValueError(f"invalid portal configuration ({count} broken rules): " + "; ".join(found))
     return build_page_plan(configs, pages_override)

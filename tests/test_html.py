@@ -98,7 +98,7 @@ def test_metadata_lists_keep_blank_but_not_missing():
 
 def test_clean_functions(spark):
     rows = [
-        ("<div>Bom <strong>dia</strong>!<script>t('y')</script></div>", "Bom dia!", "Bom <strong>dia</strong>!"),
+        ("<ul><li>um</li><li><em>dois</em><script>x=1</script></li></ul>", "um dois", "<ul><li>um</li><li><em>dois</em></li></ul>"),
         ("<style>p{}</style><h1>a</h1><p class='x'>b , c</p>", "a b, c", "a<p>b , c</p>"),
         ("plain  text ;", "plain text;", "plain  text ;"),
         ("a &lt;b&gt;&nbsp;c", "a <b> c", "a &lt;b&gt; c"),

@@ -74,7 +74,7 @@ def test_dedup_and_upsert_never_window_over_keys(spark, no_broadcast):
 
 def test_scans_read_only_what_they_need(spark, sf_dir):
     plan = plan_text(QUERIES["fingerprint_docs"](spark, sf_dir))
-    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,source:string,n_chars:bigint>" in plan
+    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,source:string>" in plan
     plan = plan_text(QUERIES["normalize_tags"](spark, sf_dir))
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_brand:string,p_type:string>" in plan
     plan = plan_text(QUERIES["first_fingerprints"](spark, sf_dir))
