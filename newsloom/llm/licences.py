@@ -7,6 +7,8 @@ hash join. All of it is DataFrame functions.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +90,7 @@ Permission is granted to anyone to use this software for any purpose, including
     ),
 )
 
+NO_WORDS = hashlib.sha256(b"").hexdigest()
 _COPYRIGHT = r"(?m)^[\s/*#;-]*(copyright|\(c\)|©)[^\n]*$"
 _GAP = r"[^\p{L}\p{N}]+"
 
@@ -102,8 +105,11 @@ def canonical(text: Column) -> Column:
 
 
 def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; null for null texts and those without words."""
-    return F.sha2(F.nullif(canonical(text), F.lit("")), 256)
+    """SHA-256 of the canonical form, never null: texts without words have that of ``""``.
+
+    A null would make the join test the whole expression once more for every row.
+    """
+    return F.coalesce(F.sha2(canonical(F.coalesce(text, F.lit(""))), 256), F.lit(NO_WORDS))
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
@@ -124,7 +130,7 @@ def licensed(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_
     """
     texts = texts_by_id(docs, id_column, text_column)
     keep = Staging(texts.sparkSession)
-    sought = known.select(digest(F.col("text")).alias("digest"), "license_id").where("digest IS NOT NULL")
+    sought = known.select(digest(F.col("text")).alias("digest"), "license_id").where(F.col("digest") != NO_WORDS)
     sought = keep(sought.groupBy("digest").agg(F.min("license_id").alias("license_id")), "known")
     rows = sought.count()
 
@@ -137,7 +143,7 @@ def licensed(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_
     whole = texts.select("doc_id", digest(F.col("text")).alias("digest")).join(broadcast_within(sought, rows), "digest", "left")
     return whole.join(per_doc, "doc_id", "left").select(
         "doc_id",
-        "digest",
+        F.when(F.col("digest") != NO_WORDS, F.col("digest")).alias("digest"),
         "license_id",
         F.coalesce("n_license_lines", F.lit(0).cast("long")).alias("n_license_lines"),
         F.coalesce("license_lines", F.lit("")).alias("license_lines"),
