@@ -1,6 +1,6 @@
 """Date text to UTC timestamps, with regular expressions and ``try_make_timestamp``.
 
-Not read (they give null): ISO week dates and ISO text whose separator is a digit.
+Not read (it gives null): ISO text whose separator between date and time is a digit.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from newsloom.functions.text import bind, groups, strip
 
 # date, optional time, optional offset; the same dash or colon style on both sides
-_ISO = (
-    r"^(\d{4})(-?)(\d{2})\2(\d{2})"
+_ISO_TIME = (
     r"(?:[^\d](\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d+))?)?)?"
     r"(?: ?([+-])([01]\d|2[0-3])(?::?([0-5]\d)(?::?([0-5]\d))?)?)?)?$"
 )
+_ISO = r"^(\d{4})(-?)(\d{2})\2(\d{2})" + _ISO_TIME
+# year, week and, if it is not Monday, the day of the week
+_ISO_WEEK = r"^(\d{4})(-?)W(\d{2})(?:\2([1-7]))?" + _ISO_TIME
 _CLOCK = r"(?:\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?)?$"
 _YMD = r"^(\d{4})-(\d{1,2})-(\d{1,2})" + _CLOCK
 _DMY = r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _CLOCK
@@ -34,17 +36,33 @@ def _timestamp(year: Column, month: Column, day: Column, hour: Column, minute: C
     return F.when((year > 0) & (second < 60), stamp)
 
 
+def _week_day(year: Column, week: Column, day: Column) -> Column:
+    """Date of a day of an ISO week; null if the year has no such week."""
+    first = F.trunc(F.make_date(year, F.lit(1), F.lit(4)), "week")
+    weeks = F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))
+    date = F.date_add(first, (week - 1) * 7 + F.greatest(day, F.lit(1)) - 1)
+    return F.when((week > 0) & (week <= weeks), date)
+
+
 def _iso(text: Column) -> Column:
+    return F.coalesce(_iso_form(text, _ISO), F.when(text.contains("W"), _iso_form(text, _ISO_WEEK, weeks=True)))
+
+
+def _iso_form(text: Column, pattern: str, weeks: bool = False) -> Column:
     def build(found: Column) -> Column:
         part = lambda group: _number(found[group - 1])
+        date = (part(1), part(3), part(4))
+        if weeks:
+            day = _week_day(*date)
+            date = (F.year(day), F.month(day), F.day(day))
         micros = F.rpad(F.substring(found[8], 1, 6), 6, "0").cast("int")
         second = (part(8) + micros / F.lit(1000000)).cast("decimal(16,6)")
-        local = _timestamp(part(1), part(3), part(4), part(5), part(7), second)
+        local = _timestamp(*date, part(5), part(7), second)
         offset = part(11) * 3600 + part(12) * 60 + part(13)
         shift = F.when(found[9] == "-", offset).otherwise(-offset)
         return F.timestamp_micros(F.unix_micros(local) + shift.cast("long") * 1000000)
 
-    return bind(groups(text, _ISO, 13), build)
+    return bind(groups(text, pattern, 13), build)
 
 
 def _with_clock(text: Column, pattern: str, year: int, month: int, day: int) -> Column:

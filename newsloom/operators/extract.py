@@ -1,13 +1,14 @@
 """Extraction of listing items, articles and fields from HTML, one parse per page.
 
 Each page kind has one Arrow UDF that returns a struct. Selectors arrive as a JSON text column,
-so portals with different options share one job; the options are decoded once per worker.
+so portals with different options share one job; a worker turns each into :class:`Rules` once.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
@@ -28,15 +29,77 @@ _CLEANED_ARROW = to_arrow_type(S.CLEANED)
 _FIELDS_ARROW = to_arrow_type(FIELD_MAP)
 
 
+Reader = Callable[[Page, Element], str | None]
+
+
+def _reader(attribute: str | None) -> Reader:
+    """What a field takes from its element: the text, the element's own HTML, or an attribute."""
+    if not attribute:
+        return Page.text
+    if attribute == "html":
+        return Page.html
+    return lambda _, node: node.attrs.get(attribute)
+
+
+@dataclass(frozen=True)
+class Field:
+    """A metadata field: its place, what is read there, and whether every match counts."""
+
+    name: str
+    selector: str
+    read: Reader
+    every: bool
+
+    @classmethod
+    def of(cls, name: str, given: object) -> Field:
+        wanted = given if isinstance(given, dict) else {"selector": given}
+        place = str(wanted.get("selector") or "").strip()
+        return cls(name, place, _reader(wanted.get("attr")), bool(wanted.get("all")))
+
+
+@dataclass(frozen=True)
+class Rules:
+    """Options of a portal for one page kind; an empty selector means the part is not wanted."""
+
+    item: str
+    link: str
+    target: str
+    title: str
+    summary: str
+    body: str
+    content: bool
+    allowed: frozenset[str]
+    fields: tuple[Field, ...]
+
+    def metadata(self, page: Page, inside: Element | None = None) -> tuple[dict[str, str], dict[str, list[str]]]:
+        """``(texts, lists)``: a field of every match is a list and its JSON text."""
+        texts, lists = {}, {}
+        for field in self.fields:
+            if matches := page.select(field.selector, inside):
+                read = [field.read(page, node) for node in (matches if field.every else matches[:1])]
+                present = [value for value in read if value is not None]
+                if field.every:
+                    lists[field.name], texts[field.name] = present, json.dumps(present, ensure_ascii=False)
+                elif present:
+                    texts[field.name] = present[0]
+        return texts, lists
+
+
 @lru_cache(maxsize=4096)
-def _options(text: str | None) -> dict:
-    options = json.loads(text) if text else {}
-    selectors = options.get("metadata_selectors") or {}
-    options["metadata_selectors"] = {
-        key: value if isinstance(value, dict) else {"selector": value} for key, value in selectors.items()
-    }
-    options["allowed"] = frozenset(options.get("allowed_tags") or DEFAULT_ALLOWED_TAGS)
-    return options
+def _rules(text: str | None) -> Rules:
+    given = json.loads(text) if text else {}
+    fields = [Field.of(name, value) for name, value in (given.get("metadata_selectors") or {}).items()]
+    return Rules(
+        item=given.get("item_selector") or "",
+        link=given.get("link_selector", "a") or "",
+        target=given.get("url_attribute") or "href",
+        title=given.get("title_selector") or "",
+        summary=given.get("summary_selector") or "",
+        body=given.get("body_selector") or "",
+        content=bool(given.get("keep_content")),
+        allowed=frozenset(given.get("allowed_tags") or DEFAULT_ALLOWED_TAGS),
+        fields=tuple(field for field in fields if field.selector),
+    )
 
 
 def _parsed(html: str | None) -> Page | None:
@@ -46,76 +109,53 @@ def _parsed(html: str | None) -> Page | None:
         return None
 
 
-def _metadata(page: Page, selectors: dict, inside: Element | None) -> tuple[dict, dict]:
-    """Single values and value lists found by the metadata selectors."""
-    single: dict[str, str] = {}
-    lists: dict[str, list[str]] = {}
-    for key, spec in selectors.items():
-        selector = str(spec.get("selector") or "").strip()
-        nodes = page.select(selector, inside) if selector else []
-        if not nodes:
-            continue
-        attr = spec.get("attr")
-        if not spec.get("all"):
-            nodes = nodes[:1]
-        if attr == "html":
-            values = [page.html(node) for node in nodes]
-        elif attr:
-            values = [node.attrs.get(attr) for node in nodes]
-        else:
-            values = [page.text(node) for node in nodes]
-        values = [value for value in values if value is not None]
-        if spec.get("all"):
-            lists[key] = values
-            single[key] = json.dumps(values, ensure_ascii=False)
-        elif values:
-            single[key] = values[0]
-    return single, lists
+def _text_at(page: Page, selector: str, inside: Element | None = None) -> str | None:
+    """Text of the first match; null without a selector, a match or any text."""
+    node = page.first(selector, inside) if selector else None
+    return (page.text(node) or None) if node else None
+
+
+def _listing_item(page: Page, item: Element, rules: Rules) -> dict:
+    link = page.first(rules.link, item) if rules.link else item
+    href = (link.attrs.get(rules.target) or "").strip() if link else ""
+    if not href:
+        return {"href": ""}
+    texts, lists = rules.metadata(page, item)
+    summary = page.first(rules.summary, item) if rules.summary else None
+    return {
+        "href": href,
+        "content": page.html(item) if rules.content else None,
+        "link_text": page.text(link) or None,
+        "title_text": _text_at(page, rules.title, item),
+        "summary_html": page.html(summary) if summary else None,
+        "summary_text": page.text(summary) if summary else None,
+        "meta": texts,
+        "lists": lists,
+    }
 
 
 def _listing_items(html: str | None, options_text: str | None) -> list[dict] | None:
-    options = _options(options_text)
-    page = _parsed(html)
-    if page is None:
-        return None
-    link_selector = options.get("link_selector", "a")
-    items = []
-    for element in page.select(options.get("item_selector") or ""):
-        link = page.first(link_selector, element) if link_selector else element
-        item: dict = {"href": link.attrs.get(options.get("url_attribute") or "href", "").strip() if link else ""}
-        if item["href"]:
-            item["link_text"] = page.text(link) or None
-            title = options.get("title_selector") and page.first(options["title_selector"], element)
-            item["title_text"] = page.text(title) or None if title else None
-            summary = options.get("summary_selector") and page.first(options["summary_selector"], element)
-            if summary:
-                item["summary_html"], item["summary_text"] = page.html(summary), page.text(summary)
-            item["meta"], item["lists"] = _metadata(page, options["metadata_selectors"], element)
-            if options.get("keep_content"):
-                item["content"] = page.html(element)
-        items.append(item)
-    return items
+    rules, page = _rules(options_text), _parsed(html)
+    return page and [_listing_item(page, item, rules) for item in page.select(rules.item)]
 
 
 def _article_parts(
     html: str | None, options_text: str | None, keep_body: bool = True, summary_html: str | None = None
 ) -> dict | None:
-    options = _options(options_text)
-    page = _parsed(html)
-    body = page.first(options.get("body_selector") or "") if page else None
+    rules, page = _rules(options_text), _parsed(html)
+    body = page.first(rules.body) if page else None
     if body is None:
         return None
-    title = options.get("title_selector") and page.first(options["title_selector"])
-    meta, lists = _metadata(page, options["metadata_selectors"], None)
+    texts, lists = rules.metadata(page)
     return {
         "found": True,
         "body_html": page.html(body) if keep_body else None,
-        "title_text": page.text(title) or None if title else None,
-        "meta": meta,
+        "title_text": _text_at(page, rules.title),
+        "meta": texts,
         "lists": lists,
-        "safe_html": page.sanitized(options["allowed"], body),
+        "safe_html": page.sanitized(rules.allowed, body),
         "text": collapsed(page.text(body, RAW_TEXT_TAGS)),
-        "summary": _clean_text(meta.get("summary_html", summary_html)),
+        "summary": _clean_text(texts.get("summary_html", summary_html)),
     }
 
 
@@ -131,7 +171,7 @@ def _cleaned(html: str | None, options_text: str | None) -> dict | None:
     if page is None:
         return None
     return {
-        "safe_html": page.sanitized(_options(options_text)["allowed"]),
+        "safe_html": page.sanitized(_rules(options_text).allowed),
         "text": collapsed(page.text(None, RAW_TEXT_TAGS)),
     }
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from newsloom.plans.collect import Options, collect
 from newsloom.session import Staging
-from newsloom.sources.store import current_articles, seen_fingerprints, write_version
+from newsloom.sources.store import WAITING_LOG, current_articles, seen_fingerprints, waiting_items, write_version
 
 
 def run_collect(
@@ -20,11 +20,14 @@ def run_collect(
     options: Options,
     remember: bool = False,
     landed_only: bool = False,
+    wait: bool = False,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Collect against the tables below ``root``, append this run as ``version``, give its report.
 
-    Tables: ``articles``, ``write_log``, ``outcomes``, ``report`` (JSON) and, with ``remember``,
-    ``seen``. Only versions below this one are read, so a repeated run writes the same rows.
+    Tables: ``articles``, ``write_log``, ``outcomes``, ``report`` (JSON), with ``remember``
+    ``seen`` and with ``wait`` ``waiting``: the items whose article page a later run may bring.
+    Only versions below this one are read, so a repeated run writes the same rows.
     """
     stored = current_articles(spark, f"{root}/articles", ["article_id", "url", "fingerprint"], before=version)
     seen = seen_fingerprints(spark, f"{root}/seen", before=version) if remember else None
@@ -32,10 +35,15 @@ def run_collect(
         options = replace(options, run_id=f"{options.run_ts}/{version}")
     report = f"{root}/report/version={version}"
     with Staging(spark) as staged:
-        result = collect(plan, raw_pages, options, stored, seen, staged, landed_only)
+        waiting = staged(waiting_items(spark, f"{root}/waiting", before=version), "waiting") if wait else None
+        result = collect(
+            plan, raw_pages, options, stored, seen, staged, landed_only, waiting=waiting, earlier=earlier
+        )
         write_version(result.changes, f"{root}/articles", version)
         write_version(result.items, f"{root}/write_log", version)
         write_version(result.outcomes, f"{root}/outcomes", version)
+        if result.waiting is not None:
+            write_version(result.waiting.select(*WAITING_LOG.names), f"{root}/waiting", version)
         if remember:
             write_version(result.new_seen.filter("NOT fingerprint LIKE 'noop:%'"), f"{root}/seen", version)
         rows = result.report

@@ -120,6 +120,25 @@ SCRAPED_ITEMS = T.StructType(
     ]
 )
 
+# Listing items whose article page has not landed yet.
+WAITING_ITEMS = T.StructType(
+    [
+        T.StructField("portal_idx", _I),
+        T.StructField("portal", _S),
+        T.StructField("page_index", _I),
+        T.StructField("position", T.LongType()),
+        T.StructField("page_url", _S),
+        T.StructField("fetch_url", _S),
+        T.StructField("url", _S),
+        T.StructField("metadata", STRING_MAP),
+        T.StructField("tags", STRING_LIST),
+        T.StructField("article_options", _S),
+        T.StructField("default_base", _S),
+        T.StructField("fp_fields", STRING_LIST),
+        T.StructField("fp_prefix", _S),
+    ]
+)
+
 RAW_ARTICLES = T.StructType(
     [
         T.StructField("url", _S),

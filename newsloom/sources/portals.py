@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,7 +78,8 @@ def read_configs(
     """One row per config file: ``portal_idx``, ``file`` and its ``text``."""
     files = config_files(spark, paths, directory)
     order = spark.createDataFrame(list(enumerate(files)), "portal_idx int, file string")
-    texts = spark.read.text(files, wholetext=True).select(
+    # The index gives escaped URIs; paths are read as they are.
+    texts = spark.read.text([unquote(file) for file in files], wholetext=True).select(
         F.input_file_name().alias("file"), F.col("value").alias("text")
     )
     return texts.join(order, "file").select("portal_idx", "file", "text")
