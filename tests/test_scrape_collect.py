@@ -168,7 +168,7 @@ def test_repetitions_over_three_pages(spark):
     fates = [r.outcome for r in result.outcomes.orderBy("page_index", "position").collect()]
     assert fates == ["persisted", "fingerprint", "url", "url", "persisted"]
     docs = {r.url: r.summary for r in result.changes.collect()}
-    assert docs == {"https://example.com/chuva": "chuva forte", "https://example.com/page-2/vento": None}
+    assert docs == {"https://example.com/chuva": "chuva forte", "https://example.com/page-2/vento": "soprou"}
     m = result.metrics.first()
     assert (m.processed, m.skipped, m.pages_total, m.pages_fetched) == (2, {"fingerprint": 1, "url": 2}, 3, 3)
 
@@ -206,4 +206,4 @@ def test_skip_dedup_and_since(spark):
 def test_page_override_keeps_portal_name(spark, tmp_path):
     plan = plan_of(spark, tmp_path, config(), config("Dois"), pages_override=[{"url": "https://x/1", "metadata": None}])
     rows = plan.orderBy("portal_idx").select("portal", "page_url", F.col("page_meta")["portal_name"].alias("n")).collect()
-    assert [tuple(r) for r in rows] == [("Portal Um", "https://x/1", "Portal Um"), ("Dois", "https://x/1", "Dois")]
+    assert [tuple(r) for r in rows] == [("Costa", "https://x/1", "Costa"), ("Dois", "https://x/1", "Dois")]
