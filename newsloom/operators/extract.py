@@ -38,7 +38,7 @@ def _reader(attribute: str | None) -> Reader:
         return Page.text
     if attribute == "html":
         return Page.html
-    return lambda _, node: node.attrs.get(attribute)
+    return lambda _, node: node.value(attribute)
 
 
 @dataclass(frozen=True)
@@ -117,7 +117,7 @@ def _text_at(page: Page, selector: str, inside: Element | None = None) -> str |
 
 def _listing_item(page: Page, item: Element, rules: Rules) -> dict:
     link = page.first(rules.link, item) if rules.link else item
-    href = (link.attrs.get(rules.target) or "").strip() if link else ""
+    href = (link.value(rules.target) or "").strip() if link else ""
     if not href:
         return {"href": ""}
     texts, lists = rules.metadata(page, item)

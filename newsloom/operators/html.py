@@ -26,21 +26,33 @@ KEPT_ATTRIBUTES = ("href", "title")
 OPEN, TEXT, CLOSE = 0, 1, 2
 
 
+Attributes = dict[str, str | None]
+
+
 class Element:
-    __slots__ = ("attrs", "end", "last", "number", "parent", "start", "tag")
+    __slots__ = ("_marks", "attrs", "end", "last", "number", "parent", "start", "tag")
 
-    def __init__(self, tag: str, attrs: dict[str, str], number: int, parent: int, start: int) -> None:
+    def __init__(self, tag: str, attrs: Attributes, number: int, parent: int, start: int) -> None:
         self.tag = tag
-        self.attrs = attrs
+        self.attrs = attrs  # as read: null stands for an attribute without a value
+        self._marks: frozenset[str] | None = None
         self.number = number
         self.parent = parent
         self.start = start  # token range
         self.end = start + 1
         self.last = number  # number of the last descendant
 
-    def opening(self) -> str:
-        attrs = "".join(f' {k}="{escape(v, quote=True)}"' for k, v in self.attrs.items())
-        return f"<{self.tag}{attrs}>"
+    def value(self, name: str) -> str | None:
+        """An attribute's text, empty if it has no value; null if the element lacks it."""
+        return (self.attrs[name] or "") if name in self.attrs else None
+
+    @property
+    def marks(self) -> frozenset[str]:
+        """What plain selectors ask for: ``tag``, ``#id`` and every ``.class``."""
+        if self._marks is None:
+            classes = (self.value("class") or "").split()
+            self._marks = frozenset([self.tag, "#" + (self.value("id") or ""), *("." + c for c in classes)])
+        return self._marks
 
 
 class Page(HTMLParser):
@@ -52,6 +64,7 @@ class Page(HTMLParser):
         self.tokens: list = []
         self.elements: list[Element] = []
         self._open: list[Element] = []
+        self._depths: dict[str, list[int]] = {}  # where each tag stands in `_open`
         self._found: dict[tuple[str, bool], list[int]] = {}
         self.feed(html)
         self.close()
@@ -69,25 +82,23 @@ class Page(HTMLParser):
     def _close_down_to(self, depth: int) -> None:
         while len(self._open) > depth:
             element = self._open.pop()
+            self._depths[element.tag].pop()
             element.last = len(self.elements) - 1
             self._emit(CLOSE, element)
             element.end = len(self.tokens)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        parent = self._open[-1].number if self._open else -1
-        element = Element(
-            tag, {k: v or "" for k, v in attrs}, len(self.elements), parent, len(self.tokens)
-        )
+        above = self._open[-1].number if self._open else -1
+        element = Element(tag, dict(attrs), len(self.elements), above, len(self.tokens))
         self.elements.append(element)
         self._emit(OPEN, element)
         if tag not in VOID_TAGS:
+            self._depths.setdefault(tag, []).append(len(self._open))
             self._open.append(element)
 
     def handle_endtag(self, tag: str) -> None:
-        for depth in range(len(self._open) - 1, -1, -1):
-            if self._open[depth].tag == tag:
-                self._close_down_to(depth)
-                return
+        if depths := self._depths.get(tag):
+            self._close_down_to(depths[-1])
 
     def handle_data(self, data: str) -> None:
         if data:
@@ -151,7 +162,7 @@ class Page(HTMLParser):
             if kind == TEXT:
                 out.append(token if raw else escape(token, quote=False))
             elif kind == OPEN:
-                out.append(token.opening())
+                out.append(_opening(token.tag, token.attrs))
                 raw += token.tag in RAW_TEXT_TAGS
             else:
                 out.append(f"</{token.tag}>")
@@ -171,7 +182,7 @@ class Page(HTMLParser):
             elif kind == OPEN and token.tag in RAW_TEXT_TAGS:
                 i = token.end
             elif token.tag in allowed:
-                out.append(_safe_opening(token) if kind == OPEN else f"</{token.tag}>")
+                out.append(_opening(token.tag, _safe(token.attrs)) if kind == OPEN else f"</{token.tag}>")
         return "".join(out).strip()
 
 
@@ -187,38 +198,33 @@ def collapsed(text: str) -> str:
 _IGNORED_IN_SCHEME = re.compile(r"[\x00-\x20]+")
 
 
-def _safe_opening(element: Element) -> str:
-    kept = ""
-    for name, value in element.attrs.items():
-        if name not in KEPT_ATTRIBUTES:
-            continue
-        if name == "href" and _IGNORED_IN_SCHEME.sub("", value).lower().startswith("javascript:"):
-            continue
-        kept += f' {name}="{escape(value, quote=True)}"'
-    return f"<{element.tag}{kept}>"
+def _opening(tag: str, attrs: Attributes) -> str:
+    quoted = (f'{name}="{escape(text or "")}"' for name, text in attrs.items())
+    return "<" + " ".join((tag, *quoted)) + ">"
+
+
+def _runs_script(link: str | None) -> bool:
+    return _IGNORED_IN_SCHEME.sub("", link or "").lower().startswith("javascript:")
+
+
+def _safe(attrs: Attributes) -> Attributes:
+    return {k: v for k, v in attrs.items() if k in KEPT_ATTRIBUTES and not (k == "href" and _runs_script(v))}
 
 
 class Step:
-    """One compound of a selector: tag, id, classes and (CSS mode) attribute tests."""
+    """One compound of a selector: the marks an element needs and (CSS mode) attribute tests."""
 
-    __slots__ = ("attrs", "child", "classes", "ident", "tag")
+    __slots__ = ("attrs", "child", "marks")
 
     def __init__(self) -> None:
-        self.tag = ""
-        self.ident = ""
-        self.classes: list[str] = []
+        self.marks: frozenset[str] = frozenset()
         self.attrs: list[tuple[str, str | None]] = []
         self.child = False
 
     def fits(self, element: Element) -> bool:
-        if self.tag and element.tag != self.tag:
-            return False
-        attrs = element.attrs
-        if self.ident and attrs.get("id") != self.ident:
-            return False
-        if self.classes and not set(self.classes) <= set(attrs.get("class", "").split()):
-            return False
-        return all(name in attrs and value in (None, attrs[name]) for name, value in self.attrs)
+        return self.marks <= element.marks and all(
+            (own := element.value(name)) is not None and wanted in (None, own) for name, wanted in self.attrs
+        )
 
 
 _PIECE = re.compile(r"([.#]?)([^.#]+)")
@@ -260,12 +266,12 @@ def compile_selector(selector: str, css: bool = False) -> tuple[tuple[Step, ...]
 
 
 def _add(step: Step, mark: str, name: str) -> None:
-    if mark == ".":
-        step.classes.append(name)
-    elif mark == "#":
-        step.ident = name
-    elif name:
-        step.tag = name.lower()
+    """Classes add up; of several tags or ids in one compound the last one counts."""
+    if not name:
+        return
+    new = mark + (name if mark else name.lower())
+    old = step.marks if mark == "." else (m for m in step.marks if m[0] == "." or m.startswith("#") != (mark == "#"))
+    step.marks = frozenset([*old, new])
 
 
 __all__ = ["DEFAULT_ALLOWED_TAGS", "RAW_TEXT_TAGS", "Element", "Page", "collapsed", "compile_selector"]
