@@ -55,6 +55,7 @@ class SketchOptions:
 
 
 CONTRACT = SketchOptions(words=3, percent=85)
+SHARE = 500  # rows of one shingle that meet their partners in one place
 TOP = 2**12 - 2  # registers are truncated to 0 ... TOP + 1
 
 
@@ -283,40 +284,50 @@ def _links(found: DataFrame, members: DataFrame, texts: DataFrame, options: Sket
     split = open_rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     split = split.where("low < high").select("key")
     left_open = keep(open_rows.join(split, "key", "left_semi").select("doc_id", "component").distinct(), "open")
-    rest = keep(_prefix_pairs(left_open, full, options), "rest")
+    rest = keep(_prefix_pairs(left_open, full, options, keep), "rest")
     return links.union(_verified(rest, full, options))
 
 
-def _prefix_pairs(members: DataFrame, full: DataFrame, options: SketchOptions) -> DataFrame:
+def _prefix_pairs(members: DataFrame, full: DataFrame, options: SketchOptions, keep: Keep) -> DataFrame:
     """Pairs of ``members`` in different components that can still link.
 
     A filter on the sets that loses no link: with shingles in one order, rarest first, two
     sets that link share one among the first ``n - ceil(t n) + 1`` of each, and at the first
     shared one enough of both sets must still follow. Edits make rare shingles, which come
     first, so the many copies of one text do not meet on its common shingles. Per shingle only
-    members outside its most frequent component look for partners.
+    members outside its most frequent component look for partners. A frequent shingle's rows
+    are dealt into shares of about :data:`SHARE`, each of which meets every searching member.
     """
     percent = options.percent
     each = full.join(members, "doc_id").select(
         "doc_id", "component", "n_shingles", F.explode("shingles").alias("shingle")
     )
-    spread = each.groupBy("shingle").agg(F.count("*").alias("documents"))
+    # staged, so that joins on frequent shingles can be split
+    spread = keep(each.groupBy("shingle").agg(F.count("*").alias("documents")).where("documents > 1"), "spread")
     order = Window.partitionBy("doc_id").orderBy("documents", "shingle")
     first = (
-        each.join(spread, "shingle")
+        each.join(spread, "shingle", "left")
+        .withColumn("documents", F.coalesce("documents", F.lit(1)))
         .withColumn("place", F.row_number().over(order) - 1)
         .where(F.col("place") <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100))
         .where("documents > 1")
     )
+    first = keep(first.drop("documents"), "prefixes")
     counts = first.groupBy("shingle", "component").agg(F.count("*").alias("rows"))
-    main = counts.groupBy("shingle").agg(F.max_by("component", F.struct("rows", "component")).alias("main"), F.count("*").alias("kinds"))
-    first = first.join(main.where("kinds > 1").select("shingle", "main"), "shingle")
+    main = counts.groupBy("shingle").agg(
+        F.max_by("component", F.struct("rows", "component")).alias("main"),
+        F.count("*").alias("kinds"),
+        F.ceil(F.sum("rows") / SHARE).cast("int").alias("shares"),
+    )
+    main = keep(main.where("kinds > 1").drop("kinds"), "main")
+    first = first.join(broadcast_within(main, main.count()), "shingle")
+    seeking = first.where("component <> main").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+    dealt = first.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.col("shares")).cast("int"))
     need = (F.col("l.n_shingles") + F.col("r.n_shingles")) * percent / (100 + percent)
     follow = F.least(F.col("l.n_shingles") - F.col("l.place"), F.col("r.n_shingles") - F.col("r.place"))
     return (
-        first.where("component <> main")
-        .alias("l")
-        .join(first.alias("r"), F.col("l.shingle") == F.col("r.shingle"))
+        seeking.alias("l")
+        .join(dealt.alias("r"), (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.share") == F.col("r.share")))
         .where("l.component <> r.component")
         .where(_close_in_size("l.n_shingles", "r.n_shingles", options))
         .where(follow + 1e-6 >= need)
