@@ -33,9 +33,10 @@ def _signature(edges: DataFrame) -> tuple:
 def components(edges: DataFrame, keep: Keep) -> DataFrame:
     """``node, component`` for every node of the undirected ``edges (a, b)``.
 
-    The component is its smallest node. A hot node costs one partial minimum per task and a
-    join that Spark can split; each round is written by ``keep``, so lineage stays short. Ends
-    when a round changes nothing; rounds follow the logarithm of the longest path.
+    The component is its smallest node. A hot node costs one partial minimum per task; the join
+    with these minima keeps their partitioning, so a hot node's narrow edges meet in one task.
+    Each round is written by ``keep``, so lineage stays short. Ends when a round changes nothing;
+    rounds follow the logarithm of the longest path.
     """
     edges = keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _signature(edges)
