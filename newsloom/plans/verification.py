@@ -673,12 +673,13 @@ def collect_write_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # upsert ------------------------------------------------------------------------------------------------
-def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _upsert_inputs(spark: SparkSession, sf_dir: str, url: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Every document is written once; sources are portals, so copies meet across portals.
     The texts of one language are stored already."""
     docs = table(spark, sf_dir, "documents")
     text = F.col("text")
-    url = F.concat(F.lit("https://news.example/a/"), F.substring(F.sha2(text, 256), 1, 3))
+    if url is None:
+        url = F.concat(F.lit("https://news.example/a/"), F.substring(F.sha2(text, 256), 1, 3))
     fields = [
         url.alias("url"), F.col("source").alias("portal_name"), title_of(text).alias("title"),
         F.lit(None).cast("string").alias("summary"), text.alias("content_html"), text.alias("content_text"),
@@ -736,9 +737,12 @@ def upsert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_unique_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert where a new url with a stored fingerprint updates that document. The outcome of a
     row depends on all earlier ones, so there is no SQL form; tests compare with a sequential model."""
-    incoming, stored = _upsert_inputs(spark, sf_dir)
-    # The title decides the url and the text the fingerprint, so both keys cross each other.
-    incoming = incoming.withColumn("url", F.concat(F.lit("https://n.example/"), F.sha2("title", 256)))
+    # A url holds the texts of one of as many hash buckets as there are rows, the fingerprint one
+    # text, so both keys cross each other and no number of texts fills the urls.
+    rows = table(spark, sf_dir, "documents").count()
+    bucket = F.pmod(F.xxhash64("text"), F.lit(max(rows, 1))).cast("string")
+    _, stored = _upsert_inputs(spark, sf_dir, F.concat(F.lit("https://news.example/a/"), F.sha2("text", 256)))
+    incoming, _ = _upsert_inputs(spark, sf_dir, F.concat(F.lit("https://n.example/"), F.sha2(bucket, 256)))
     writes = plan_with_unique_fingerprint(incoming, stored, "new")
     return writes.select("position", "url", "fingerprint", "status", "article_id", "is_last")
 
