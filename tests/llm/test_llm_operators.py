@@ -286,6 +286,38 @@ def test_personal_data_adds_spans_and_redacts(spark):
     assert personal.personal_data(empty(spark), None).collect() == []
 
 
+WRITTEN_OUT = ["jane.doe at example dot com", "jane[at]example[dot]com", "Jane.Doe AT Example DOT Com", "jane(AT)example(DOT)com", "jane [AT] example [dot] com"]
+
+
+@pytest.mark.parametrize("address", WRITTEN_OUT)
+def test_written_out_addresses_are_proposed(address):
+    class Sure:
+        def probability(self, x):
+            return np.ones(len(x))
+
+    text = f"write to {address} soon"
+    wanted = (9, 9 + len(address), 0)
+    assert wanted in personal.proposals(text)
+    assert personal.find(text, personal.SpanModel(Sure(), (0.5,) * 4)) == ([], [wanted])
+    assert personal.find(text, None) == ([], [])
+    assert personal.find(text.replace(address, "nobody"), personal.SpanModel(Sure(), (0.5,) * 4)) == ([], [])
+
+
+def test_written_out_addresses_are_redacted_without_digits(spark):
+    rng = random.Random(3)
+    names = [w + x for w in ("jo", "an", "ed", "su", "li", "max", "kim") for x in ("na", "dor", "vic", "rex")]
+    rows = [f"see {rng.choice(names)}.{rng.choice(names)}@{rng.choice(names)}.example.com now" for _ in range(300)]
+    rows += [f"we met at {rng.choice(names)}. Then we left at {rng.choice(names)} with {rng.choice(names)}" for _ in range(60)]
+    docs = frame(spark, rows)
+    model = personal.fit(docs.select("doc_id", "text"))
+    for address in ["jona.kimrex at maxdor.example dot com", "jona.kimrex AT maxdor DOT example DOT com", "jona.kimrex[AT]maxdor[DOT]example[DOT]com"]:
+        text = f"see {address} now"
+        assert personal.redact(text, personal.find(text, model)[1]) == "see [EMAIL] now", address
+    # documents without digits and '@' are part of the sample
+    assert personal.fit(frame(spark, rows[300:]).select("doc_id", "text")) is None
+    assert personal.find(rows[310], model) == ([], [])
+
+
 def test_trees_learn_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((1500, 4))
