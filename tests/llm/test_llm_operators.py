@@ -231,6 +231,48 @@ def test_contamination_equals_all_windows(spark):
     assert sum(e[0] for e in expected.values()) > 10
 
 
+def best_windows(text, items):
+    def runs(t):
+        w = t.lower().split()
+        return [tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else ([tuple(w)] if w else [])
+
+    s, found = runs(text), {}
+    for k, want in ((k, runs(t)) for k, t in items):
+        for a in range(max(1, len(s) - len(want) + 1)):
+            win = s[a : a + len(want)]
+            common = sum((Counter(win) & Counter(want)).values())
+            found[k] = max(found.get(k, 0.0), common / max(1, len(win) + len(want) - common))
+    return {k: v for k, v in found.items() if v >= 0.8}
+
+
+def test_contamination_of_passages_edited_in_many_places(spark):
+    rng = random.Random(21)
+    items = [(0, words(rng, 104, 10**6)), (1, words(rng, 150, 10**6)), (2, words(rng, 60, 3)), (3, words(rng, 30, 10**6) + " " + "a b c " * 20)]
+    items += [(4, words(rng, 90, 10**6)), (4, words(rng, 110, 10**6)), (5, "z " * 40)]
+    parts = items[0][1].split()
+    parts[2], parts[-3] = "changed", "changed"
+    between = [*parts[:52], *"six words put in the middle".split(), *parts[52:]]
+    docs = [words(rng, 40, 10**6) + " " + " ".join(between) + " " + words(rng, 40, 10**6)]
+    for k in range(150):
+        parts = rng.choice(items)[1].split()
+        for _ in range(rng.randrange(0, 5)):
+            at, n = rng.choice([rng.randrange(len(parts)), rng.randrange(4), len(parts) - 1 - rng.randrange(4)]), rng.randrange(0, 5)
+            parts[at : at + rng.choice([0, 0, 1, n])] = words(rng, rng.choice([0, 1, n]), rng.choice([3, 10**6])).split()
+        docs.append(" ".join([*words(rng, rng.randrange(30), 3).split(), *parts, *words(rng, rng.randrange(30), rng.choice([3, 10**6])).split()]))
+    ids = [i if i % 20 else 0 for i in range(len(docs))]
+    expected = {}
+    for i, t in zip(ids, docs):
+        for k, v in best_windows(t, items).items():
+            expected.setdefault(i, {})[k] = max(v, expected.get(i, {}).get(k, 0.0))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    wide = decontamination.MatchOptions(radius=64)
+    for options in (None, wide):
+        got = {(r.doc_id, r.n_items, r.item_id, round(r.similarity, 9)) for r in decontamination.contamination(frame(spark, docs, ids), bench, options).collect()}
+        best = {i: min((-v, k) for k, v in expected[i].items()) if i in expected else (0.0, None) for i in ids}
+        assert got == {(i, len(expected.get(i, {})), best[i][1], round(-best[i][0], 9)) for i in ids}
+    assert 0 in best_windows(docs[0], items) and 30 < len(expected) < len(set(ids))
+
+
 def test_contamination_odd_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contamination(empty(spark), none).collect() == []
