@@ -8,6 +8,8 @@ hash join. All of it is DataFrame functions.
 from __future__ import annotations
 
 import hashlib
+import json
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,6 +92,16 @@ Permission is granted to anyone to use this software for any purpose, including
     ),
 )
 
+# Title lines that files put above these texts, and licences whose text has its title as first paragraph.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "Zlib": ("zlib License", "The zlib License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License"),
+}
+OWN_TITLE = ("Apache", "GPL", "LGPL", "MPL", "GFDL", "CC0")
+
 NO_WORDS = hashlib.sha256(b"").hexdigest()
 _COPYRIGHT = r"(?m)^[\s/*#;-]*(copyright|\(c\)|©)[^\n]*$"
 _GAP = r"[^\p{L}\p{N}]+"
@@ -112,8 +124,17 @@ def digest(text: Column) -> Column:
     return F.coalesce(F.sha2(canonical(F.coalesce(text, F.lit(""))), 256), F.lit(NO_WORDS))
 
 
+def catalogue() -> list[tuple[str, str]]:
+    """:data:`KNOWN` and the texts of ``licence_texts.json``, with and without their titles."""
+    more = json.loads((Path(__file__).parent / "licence_texts.json").read_text("utf-8"))
+    rows = [*KNOWN, *((r["license_id"], r["text"]) for r in more)]
+    titled = [(name, f"{title}\n\n{text}") for name, text in rows for title in TITLES.get(name, ())]
+    own_title = [(name, text.strip().split("\n\n", 1)[1]) for name, text in rows if name.startswith(OWN_TITLE) and "\n\n" in text.strip()]
+    return rows + titled + own_title
+
+
 def known_licences(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KNOWN, "license_id string, text string")
+    return spark.createDataFrame(catalogue(), "license_id string, text string")
 
 
 def licensed(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

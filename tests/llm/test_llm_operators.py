@@ -508,3 +508,17 @@ def test_licence_digests(spark):
     assert (got[3].n_license_lines, got[3].license_lines) == (2, "MIT-notice")
     assert [got[i].digest is None for i in range(4, 8)] == [False, True, True, True]
     assert licences.licensed(empty(spark), licences.known_licences(spark)).collect() == []
+
+
+def test_licences_with_titles_and_other_common_texts(spark):
+    by_name = {}
+    for name, text in licences.catalogue():
+        by_name.setdefault(name, text)
+    holder = "\n\nCopyright (c) 2021 Someone\n\n"
+    names = ["MIT", "ISC", "Zlib", "BSD-2-Clause", "BSD-3-Clause"]
+    rows = [licences.TITLES[n][0] + holder + by_name[n] for n in names]
+    others = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0"]
+    rows += [by_name[n] for n in others] + ["x\nSPDX-License-Identifier: MPL-2.0\ny"]
+    got = rows_of(licences.licensed(frame(spark, rows, list(range(len(rows)))), licences.known_licences(spark)))
+    assert [got[i].license_id for i in range(len(rows) - 1)] == names + others
+    assert got[len(rows) - 1].license_lines == "MPL-2.0-notice"
