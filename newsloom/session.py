@@ -104,6 +104,10 @@ class Staging:
         return self
 
     def __exit__(self, *_: object) -> None:
+        self.remove()
+
+    def remove(self) -> None:
+        """Delete the copies; nothing may read them any more."""
         folder = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
         folder.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(folder, True)
 
