@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import (
     anchors,
+    centroids,
     decontamination,
     language,
     licences,
     packing,
     personal,
+    phrases,
     quality,
     quartiles,
     setsketch,
@@ -135,3 +137,21 @@ def op4_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op4_licence_digests"] = licences.oracle()
+
+
+@query
+def op11_dynamic_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_dynamic_collocations"] = phrases.oracle()
+
+
+@query
+def op13_subvector_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.clustered(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+SQL["op13_subvector_centroids"] = centroids.oracle()
