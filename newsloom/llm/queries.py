@@ -17,6 +17,7 @@ from newsloom.llm import (
     packing,
     personal,
     phrases,
+    planes,
     quality,
     quartiles,
     setsketch,
@@ -155,3 +156,9 @@ def op13_subvector_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op13_subvector_centroids"] = centroids.oracle()
+
+
+@query
+def op12_plane_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = planes.PlaneOptions(tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
+    return planes.round_trip(table(spark, sf_dir, "documents"), options)
