@@ -34,7 +34,8 @@ from newsloom.llm.tables import texts_by_id
 from newsloom.session import Staging
 
 MAGIC = b"IDPLANE1"
-MEMORY = 500_000  # pre-tokens whose ids a worker remembers; then it begins anew
+MEMORY = 1_200_000  # pre-tokens whose ids a worker remembers, about 250 MB; then it begins anew
+_TOGETHER = 1 << 20  # characters of texts whose pre-tokens are looked up together
 _MANIFEST = "part int, path string, n_ids long, n_docs long, n_bytes long"
 _SUMMARY = "part int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -60,7 +61,9 @@ class PieceTokens:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     Pre-tokens repeat and merges never reach across them, so the ids of a bounded number of them
-    are remembered. Texts beyond Latin-1 or with a special token's opening go through as a whole.
+    are remembered. New words that begin with a blank are encoded side by side as one text: each
+    is a pre-token of it, and its first id is the only one that begins with a blank. Texts beyond
+    Latin-1 or with a special token's opening go through as a whole.
     """
 
     _loaded: dict[str, PieceTokens] = {}
@@ -71,6 +74,9 @@ class PieceTokens:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._blank = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
 
     @classmethod
     def of(cls, path: str) -> PieceTokens:
@@ -82,18 +88,39 @@ class PieceTokens:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, text: str) -> bytes:
-        if "<|" in text or not _PLAIN.fullmatch(text):
-            return self._ids([text])[0]
-        pieces, known = _PIECES.findall(text), self._known
-        fresh = {p for p in pieces if p not in known}
+    def _learn(self, fresh: set[str]) -> None:
+        words = [p for p in fresh if p[0] == " " and p[1:].isalpha()]
+        raw = self._ids(["".join(words)])[0]
+        heads = np.flatnonzero(self._blank[np.frombuffer(raw, dtype=np.uint32)])
+        if len(heads) == len(words):
+            cuts = [*(4 * heads).tolist(), len(raw)]
+            self._known.update(zip(words, [raw[low:high] for low, high in zip(cuts, cuts[1:])], strict=True))
+        others = [p for p in fresh if p not in self._known]
+        self._known.update(zip(others, self._ids(others), strict=True))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts; null is empty."""
+        out: list[bytes] = []
+        low = 0
+        while low < len(texts):
+            high, size = low, 0
+            while high < len(texts) and (high == low or size < _TOGETHER):
+                size += len(texts[high] or "")
+                high += 1
+            out += self._encode(["" if t is None else t for t in texts[low:high]])
+            low = high
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        split = [_PIECES.findall(t) if "<|" not in t and _PLAIN.fullmatch(t) else None for t in texts]
+        fresh = set().union(*[p for p in split if p]).difference(self._known)
+        if len(self._known) + len(fresh) > MEMORY:
+            self._known.clear()
+            fresh = set().union(*[p for p in split if p])
         if fresh:
-            if len(known) + len(fresh) > MEMORY:
-                known.clear()
-                fresh = set(pieces)
-            fresh = list(fresh)
-            known.update(zip(fresh, self._ids(fresh), strict=True))
-        return b"".join([known[p] for p in pieces])
+            self._learn(fresh)
+        known = self._known
+        return [self._ids([t])[0] if p is None else b"".join(map(known.__getitem__, p)) for t, p in zip(texts, split, strict=True)]
 
 
 def split_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -243,11 +270,11 @@ def _writing(root: str, options: PlaneOptions):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part, writer, path = PieceTokens.of(options.tokenizer), TaskContext.get().partitionId(), None, ""
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if writer is None:
-                    path = f"{root}/ids-{part:06d}-{uuid.uuid4().hex}.planes"
-                    writer = PlaneWriter(path, options)
-                writer.add(doc_id, tokens.encode(text.as_py() or "") + end)
+            if writer is None:
+                path = f"{root}/ids-{part:06d}-{uuid.uuid4().hex}.planes"
+                writer = PlaneWriter(path, options)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), tokens.encode(batch.column(1).to_pylist()), strict=True):
+                writer.add(doc_id, ids + end)
         if writer:
             writer.close()
             row = [part, path, writer.n_ids, writer.n_docs, writer.n_bytes]
