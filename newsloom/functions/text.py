@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -48,3 +49,23 @@ def empty_to_null(col: Column) -> Column:
 def title_or_default(title: Column, summary: Column, fallback: str = DEFAULT_TITLE) -> Column:
     """The first non-empty of title, summary and the fallback."""
     return F.coalesce(empty_to_null(title), empty_to_null(summary), F.lit(fallback))
+
+
+def _base_letter(char: str) -> str:
+    """The ASCII letter that a letter with marks is built on, or the letter itself."""
+    base = unicodedata.normalize("NFD", char)[0]
+    return base if base.isascii() else char
+
+
+# All letters of the Latin blocks that are an ASCII letter with marks, by the rule above.
+_LATIN = [chr(c) for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]]
+ACCENTED = "".join(c for c in _LATIN if _base_letter(c) != c)
+PLAIN = "".join(map(_base_letter, ACCENTED))
+
+
+def fold(col: Column) -> Column:
+    """Lower case without accents; as many characters as before, so places stay the same.
+
+    Marks that follow their letter as characters of their own are kept.
+    """
+    return F.lower(F.translate(col, ACCENTED, PLAIN))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -123,6 +125,62 @@ def to_absolute(url: Column, base: Column | None = None, default_base: Column |
     return bind(F.struct(strip(url).alias("ref"), chosen.alias("base")), joined)
 
 
+# Query parameters that only track where a reader came from (fixed values); names ending in `*`
+# stand for all that begin so.
+TRACKING = ("utm_*", "gclid", "fbclid", "msclkid", "dclid", "yclid", "igshid", "mc_cid", "mc_eid", "_ga", "_gl")
+_DEFAULT_PORTS = {"http": "80", "https": "443"}
+
+
+def _percent(text: Column) -> Column:
+    """Percent codes in capitals, those of unreserved characters decoded, a stray ``%`` coded."""
+
+    def piece(part: Column, i: Column) -> Column:
+        code = F.upper(F.substring(part, 1, 2))
+        char = F.char(F.conv(code, 16, 10).cast("int"))
+        rest = F.substr(part, F.lit(3))
+        coded = F.when(char.rlike("^[A-Za-z0-9._~-]$"), F.concat(char, rest)).otherwise(F.concat(F.lit("%"), code, rest))
+        return F.when(i == 0, part).when(code.rlike("^[0-9A-F]{2}$"), coded).otherwise(F.concat(F.lit("%25"), part))
+
+    return F.when(text.contains("%"), F.array_join(F.transform(F.split(text, "%", -1), piece), "")).otherwise(text)
+
+
+def _tracked(name: Column, tracking: Sequence[str]) -> Column:
+    exact = [t for t in tracking if not t.endswith("*")]
+    found = name.isin(*exact) if exact else F.lit(False)
+    for start in (t[:-1] for t in tracking if t.endswith("*")):
+        found = found | name.startswith(start)
+    return found
+
+
+def canonical_url(url: Column, tracking: Sequence[str] = TRACKING) -> Column:
+    """One form of all addresses of a page.
+
+    Scheme and host in lower case, no default port, dot segments resolved, percent codes in one
+    form, query parameters sorted and without the ``tracking`` ones, no fragment. An address that
+    is not http(s) is only stripped; a blank one is null. Applying it again changes nothing.
+    """
+    tracking = [t.lower() for t in tracking]
+
+    def built(part: Column) -> Column:
+        scheme, netloc = F.lower(part[0]), part[1]
+        user = F.regexp_extract(netloc, "^(.*@)", 1)
+        host = F.lower(F.regexp_replace(netloc, "^.*@", ""))
+        for name, port in _DEFAULT_PORTS.items():
+            host = F.when(scheme == name, F.regexp_replace(host, f":(?:{port})?$", "")).otherwise(host)
+        path = bind(_percent(part[2]), lambda p: F.when(p.rlike(r"(^|/)\.\.?(/|$)"), bind(F.split(p, "/", -1), _fold)).otherwise(p))
+        pairs = F.transform(F.filter(F.split(part[3], "&", -1), lambda q: q != ""), _percent)
+        kept = F.filter(pairs, lambda q: ~_tracked(F.lower(F.substring_index(q, "=", 1)), tracking))
+        query = F.array_join(F.array_sort(kept), "&")
+        rooted = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+        return F.concat(scheme, F.lit("://"), user, host, rooted, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
+
+    def chosen(text: Column) -> Column:
+        web = text.rlike(r"^(?i)https?://[^/?#]")
+        return F.when(web, bind(_parts(text), built)).when(text != "", text)
+
+    return bind(_tidy(strip(url)), chosen)
+
+
 def request_url(url: Column, params: Column) -> Column:
     """``url`` with the ``array<struct<key,value>>`` of query parameters appended in order.
 
@@ -139,4 +197,4 @@ def request_url(url: Column, params: Column) -> Column:
     return F.when(F.coalesce(F.size(params), F.lit(0)) > 0, extended).otherwise(url)
 
 
-__all__ = ["HIERARCHICAL", "origin_base", "request_url", "to_absolute"]
+__all__ = ["HIERARCHICAL", "TRACKING", "canonical_url", "origin_base", "request_url", "to_absolute"]

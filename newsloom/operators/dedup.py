@@ -17,39 +17,67 @@ ORDER = ("portal_idx", "page_index", "position")
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
-    """One row per key: the order columns of its first row, and the keys.
-
-    ``min`` over a struct would need a sorting aggregate; the order columns are packed into one
-    fixed-width decimal instead, which keeps both aggregation passes hash based.
-    """
-    packed = pack_order(order)
-    first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
+    """One row per key: the order columns of its first row, and the keys."""
+    first = df.groupBy(*keys).agg(F.min(pack_order(df, order)).alias("_first"))
     own = [key for key in keys if key not in order]
     return first.select(*own, *unpack_order(F.col("_first"), df, order))
 
 
-_WIDTH = 10**12  # per order column; position and page numbers stay far below
-_DIGITS = 12
+_BITS = {"tinyint": 31, "smallint": 31, "int": 31, "bigint": 63}
+
+
+def _widths(df: DataFrame, order: Sequence[str]) -> list[int] | None:
+    """Bits of every order column if all but the last fit 63 bits together, else None."""
+    bits = [_BITS.get(df.schema[name].dataType.simpleString()) for name in order]
+    return bits if None not in bits and sum(bits[:-1]) <= 63 else None
 
 
-def pack_order(order: Sequence[str]) -> Column:
-    """Order columns as one decimal that sorts the same way (values below 10^12, at most three)."""
-    if len(order) > 3:
-        raise ValueError("at most three order columns fit into one decimal")
+def _counted(name: str) -> Column:
+    number = F.col(name).cast("long")
+    return F.when(number >= 0, number).when(number < 0, F.raise_error(F.lit(f"negative order column {name}")).cast("long"))
+
+
+def pack_order(df: DataFrame, order: Sequence[str] = ORDER) -> Column:
+    """The order columns as one value that sorts the same way.
+
+    ``min`` over a struct needs a sorting aggregate. Whole numbers from 0 on, up to the largest
+    of their type, are packed into one long and, beyond 63 bits, one decimal instead, which keeps
+    aggregation hash based. Columns of other types, or wider together, stay a struct. A negative
+    number ends the job.
+    """
+    bits = _widths(df, order)
+    if bits is None:
+        return F.struct(*order)
+    head, used = _counted(order[0]), bits[0]
+    for name, width in zip(order[1:-1], bits[1:-1], strict=True):
+        head, used = F.shiftleft(head, width).bitwiseOR(_counted(name)), used + width
+    if len(order) == 1:
+        return head
+    if used + bits[-1] <= 63:
+        return F.shiftleft(head, bits[-1]).bitwiseOR(_counted(order[-1]))
     wide = "decimal(38,0)"
-    packed = F.lit(0).cast(wide)
-    for name in order:
-        packed = (packed * F.lit(_WIDTH).cast("decimal(13,0)")).cast(wide) + F.col(name).cast("decimal(12,0)")
-        packed = packed.cast(wide)
-    return packed
-
-
-def unpack_order(packed: Column, df: DataFrame, order: Sequence[str]) -> list[Column]:
-    text = F.lpad(packed.cast("string"), _DIGITS * len(order), "0")
-    return [
-        F.substring(text, 1 + i * _DIGITS, _DIGITS).cast(df.schema[name].dataType).alias(name)
-        for i, name in enumerate(order)
-    ]
+    shifted = (head.cast("decimal(19,0)") * F.lit(str(1 << bits[-1])).cast("decimal(19,0)")).cast(wide)
+    return (shifted + _counted(order[-1]).cast("decimal(19,0)")).cast(wide)
+
+
+def unpack_order(packed: Column, df: DataFrame, order: Sequence[str] = ORDER) -> list[Column]:
+    """The order columns that :func:`pack_order` packed, in their types."""
+    bits = _widths(df, order)
+    kind = lambda name: df.schema[name].dataType
+    if bits is None:
+        return [packed[name].alias(name) for name in order]
+    found, head, width = [], packed, bits[-1]
+    if len(order) > 1 and sum(bits) > 63:
+        size = F.lit(str(1 << width)).cast("decimal(19,0)")
+        found.append((packed % size).cast(kind(order[-1])).alias(order[-1]))
+        head = F.call_function("div", packed, size)
+    elif len(order) > 1:
+        found.append(packed.bitwiseAND(F.lit((1 << width) - 1)).cast(kind(order[-1])).alias(order[-1]))
+        head = F.shiftright(packed, width)
+    for name, width in zip(reversed(order[1:-1]), reversed(bits[1:-1]), strict=True):
+        found.append(head.bitwiseAND(F.lit((1 << width) - 1)).cast(kind(name)).alias(name))
+        head = F.shiftright(head, width)
+    return [head.cast(kind(order[0])).alias(order[0]), *reversed(found)]
 
 
 def mark_first(

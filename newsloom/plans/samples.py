@@ -1,8 +1,9 @@
 """Collect inputs derived from the given tables by Spark, at any scale.
 
 `documents` becomes a small news web: one portal per language, listing pages of fifty documents,
-one article page per distinct text. A hash of the text decides which article pages are broken.
-Whole texts are summaries; titles come from a hash, so that some texts share one.
+one article page per distinct source and text, whose hash decides which pages are broken. Whole
+texts are summaries, and whole hashes of texts titles: copies within a source share an address,
+copies in different sources share a title only.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from newsloom import schemas as S
 from newsloom.functions.urls import to_absolute
 
 PER_PAGE = 50
-NO_BODY, REFUSED = "0", "1"  # first digit of a text's hash: no article body, a refused page
+# A slug between these: an article without a body, a refused page. One page in 64 each.
+NO_BODY, REFUSED = ("00", "04"), ("10", "14")
 PORTALS = ("de", "en", "es", "fr")
 LISTING_OPTIONS = {
     "item_selector": "ul.list li.item",
@@ -36,8 +38,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def title_of(text: Column) -> Column:
-    """A title that few texts share: by three digits of the hash of the whole text."""
-    return F.concat(F.lit("Nota "), F.substring(F.sha2(text, 256), 1, 3))
+    """A title that only copies share."""
+    return F.concat(F.lit("Nota "), F.sha2(text, 256))
+
+
+def slug_of(source: Column, text: Column) -> Column:
+    """The address of a text in its source."""
+    return F.sha2(F.concat(source, F.lit(" "), text), 256)
+
+
+def _within(slug: Column, ends: tuple[str, str]) -> Column:
+    return (slug >= ends[0]) & (slug < ends[1])
 
 
 def escaped(text: Column) -> Column:
@@ -61,16 +72,17 @@ def _host(lang: Column) -> Column:
 
 
 def article_pages(docs: DataFrame) -> DataFrame:
-    """One landed page per distinct text of a language."""
-    distinct = docs.groupBy("lang", F.sha2("text", 256).alias("slug")).agg(F.any_value("text").alias("text"))
+    """One landed page per distinct source and text of a language."""
+    slug = slug_of(F.col("source"), F.col("text"))
+    distinct = docs.groupBy("lang", slug.alias("slug")).agg(F.any_value("text").alias("text"))
     text = F.col("text")
     body = _html('<div class="content" onclick="x()"><p>', escaped(text), '</p><script>track("</p>")</script></div>')
     html = _html(
         "<!DOCTYPE html><html><head><title>t</title></head><body><!-- ad --><article data-section=\"",
         F.col("lang"), '"><h1>', title_of(text), "</h1>",
-        F.when(F.col("slug").startswith(NO_BODY), F.lit("<br>")).otherwise(body), "</article></body></html>",
+        F.when(_within(F.col("slug"), NO_BODY), F.lit("<br>")).otherwise(body), "</article></body></html>",
     )
-    refused = F.col("slug").startswith(REFUSED)
+    refused = _within(F.col("slug"), REFUSED)
     return distinct.select(
         _html(_host(F.col("lang")), "/a/", F.col("slug")).alias("request_url"),
         F.lit(None).cast("string").alias("final_url"),
@@ -85,7 +97,7 @@ def _listing_chunks(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     date = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n_chars") % 9000).cast("int")), "dd/MM/yyyy")
     item = _html(
-        '<li class="item"><a href="/a/', F.sha2(text, 256), '">', title_of(text),
+        '<li class="item"><a href="/a/', slug_of(F.col("source"), text), '">', title_of(text),
         '</a><div class="summary">', escaped(text), '</div><span class="tag">', F.col("lang"),
         '</span><span class="tag"> ', F.col("source"), ' </span><time class="date">', date, "</time></li>",
     )
@@ -131,7 +143,7 @@ def document_web(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 def document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as scraped items of one portal per language, fifty to a page."""
     docs = table(spark, sf_dir, "documents")
-    slug = F.substring(F.sha2("text", 256), 1, 3)
+    slug = F.sha2("text", 256)
     return docs.select(
         portal_index(F.col("lang")).alias("portal_idx"),
         F.col("lang").alias("portal"),

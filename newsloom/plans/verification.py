@@ -6,6 +6,7 @@ Results hold scalar columns only, with the same names and integer widths as the
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,11 +35,13 @@ from newsloom.operators.paginate import expand_requests
 from newsloom.operators.upsert import plan_by_url, plan_with_unique_fingerprint, upserted, write_log
 from newsloom.plans.collect import CollectResult, Options, collect
 from newsloom.plans.json_ingest import ingest_json_listing
-from newsloom.plans.samples import document_items, document_web, escaped, table, title_of
-from newsloom.session import configure, spread, stage
+from newsloom.plans.samples import document_items, document_web, escaped, slug_of, table, title_of
+from newsloom.session import configure, spread, stage, staging_root
 from newsloom.sources.json_listing import listing_items as json_items
 from newsloom.sources.landed import join_pages, latest_pages
-from newsloom.sources.portals import build_page_plan, config_violations
+from newsloom.sources.portals import build_page_plan, config_violations, load_page_plan
+from newsloom.sources.store import current_articles
+from newsloom.streaming.incremental import incremental_collect, landed_stream
 
 RUN_TS = "2024-06-01 12:00:00"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,10 +126,10 @@ def pagination_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_requests(plan).select("p_partkey", "request_pos", "page_no", "request_url")
 
 
-def _config_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One portal configuration per supplier; a low balance leaves the writer out."""
+def _config_texts(spark: SparkSession, sf_dir: str, writer: bool = False) -> DataFrame:
+    """One portal configuration per supplier; a low balance leaves the writer out unless it is asked for."""
     component = F.struct(F.lit("a:b").alias("factory"))
-    writer = F.when(F.col("s_acctbal") >= 5000, component)
+    given = component if writer else F.when(F.col("s_acctbal") >= 5000, component)
     meta = F.struct(F.col("s_nationkey").cast("string").alias("nation"), F.lit("x, y").alias("tags"))
     page = lambda n, own: F.struct(
         F.concat(F.lit(f"https://h.example/{n}/"), F.col("s_suppkey").cast("string")).alias("url"), own.alias("metadata")
@@ -134,7 +137,7 @@ def _config_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.struct(F.lit("own").alias("nation"), F.lit(None).cast("string").alias("section"))
     other = F.struct(F.lit(None).cast("string").alias("nation"), F.lit("s").alias("section"))
     names = ("scraper", "url_normalizer", "date_normalizer", "text_cleaner", "deduper")
-    components = F.struct(*[component.alias(n) for n in names], writer.alias("writer"))
+    components = F.struct(*[component.alias(n) for n in names], given.alias("writer"))
     config = F.struct(
         F.concat(F.lit(" "), F.col("s_name"), F.lit(" ")).alias("name"), meta.alias("metadata"),
         F.array(page("a", own), page("b", other)).alias("pages"), components.alias("components"),
@@ -144,11 +147,54 @@ def _config_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Broken configurations: a part of the valid text, what stands there instead, and the rule it breaks.
+_BROKEN = (
+    ('"name":"', '"name":"  ","x":"', "name is required"),
+    ('"pages":[', '"pages":"p","x":[', "pages must be a list"),
+    ('"pages":[', '"pages":[7,', "every page must be an object"),
+    ('"metadata":{"nation":"own"', '"metadata":[],"x":{"nation":"own"', "page metadata must be an object"),
+    ('"components":{', '"components":{},"x":{', "component scraper is required"),
+    ('"scraper":{"factory":"a:b"', '"scraper":{"factory":" "', "component scraper needs a factory"),
+    ('"deduper":{', '"deduper":{"options":[],', "component deduper options must be an object"),
+    ('"pages":[{', '"pages":[{"pagination":[1,2],', "pagination must be an object"),
+    ('"pages":[{', '"pages":[{"pagination":{"start":"x"},', "pagination start must be a whole number"),
+    ('"pages":[{', '"pages":[{"pagination":{"count":1.5},', "pagination count must be a whole number"),
+    ('"pages":[{', '"pages":[{"pagination":{"pages":["1","q"]},', "pagination pages must be a list of whole numbers"),
+    ('"pages":[{', '"pages":[{"pagination":{"limit":-1,"stop":" 3 "},', "pagination limit must not be negative"),
+    ('"scraper":{"factory":"a:b"', '"scraper":{"factory":"a:b","options":{"pagination":{"params":[1],"param":2}}', "pagination params must be an object"),
+)
+
+
+@query(
+    "WITH broken AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{rule}')" for i, (_, _, rule) in enumerate(_BROKEN)) + """) AS t(kind, rule)),
+s AS (SELECT s_name AS file, s_suppkey % 15 AS kind, s_acctbal < 5000 AS poor FROM supplier)
+SELECT file, rule FROM s JOIN broken USING (kind) WHERE kind <> 4
+UNION ALL SELECT file, 'component ' || name || ' is required' FROM s, (VALUES ('scraper'), ('url_normalizer'), ('date_normalizer'),
+  ('text_cleaner'), ('deduper'), ('writer')) AS c(name) WHERE kind = 4
+UNION ALL SELECT file, 'component writer is required' FROM s WHERE poor AND kind NOT IN (4, 14)
+UNION ALL SELECT file, 'pagination param must be text' FROM s WHERE kind = 12
+UNION ALL SELECT file, 'config must be an object' FROM s WHERE kind = 14
+"""
+)
+def config_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier's configuration, most of them broken in one way."""
+    kind, text = F.col("portal_idx") % 15, F.col("text")
+    broken = F.when(kind == 14, F.lit("[1]"))
+    for i, (old, new, _) in enumerate(_BROKEN):
+        broken = broken.when(kind == i, F.concat(F.substring_index(text, old, 1), F.lit(new), F.substr(text, F.instr(text, F.lit(old)) + F.lit(len(old)))))
+    return config_violations(_config_texts(spark, sf_dir).withColumn("text", broken.otherwise(text)))
+
+
 @query("""
-SELECT s_name AS file, 'component writer is required' AS rule FROM supplier WHERE s_acctbal < 5000
+SELECT CAST(row_number() OVER (ORDER BY s_suppkey || '/') - 1 AS INTEGER) AS portal_idx, trim(s_name) AS portal FROM supplier
 """)
-def config_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return config_violations(_config_texts(spark, sf_dir))
+def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configurations as files in nested folders, found, validated and planned."""
+    texts = _config_texts(spark, sf_dir, writer=True).select(F.from_json("text", "name string, metadata struct<nation:string,tags:string>, "
+        "pages array<struct<url:string,metadata map<string,string>>>, components map<string,struct<factory:string>>").alias("c"), F.col("portal_idx").alias("k"))
+    root = f"{staging_root(spark)}/configs-{uuid.uuid4().hex}"
+    texts.select("k", "c.*").repartition("k").write.partitionBy("k").json(root)
+    return load_page_plan(spark, directory=root).where("page_index = 1").select("portal_idx", "portal")
 
 
 @query("""
@@ -364,7 +410,7 @@ def fingerprint_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # dedup --------------------------------------------------------------------------------------
 _SQL_ITEMS = f"""items AS (
   SELECT doc_id, text, n_chars, {_SQL_PORTAL} AS portal_idx, lang, 1 + doc_id // 50 AS page_index,
-    'https://' || lang || '.news.example/a/' || substr(sha256(text), 1, 3) AS url FROM documents)"""
+    'https://' || lang || '.news.example/a/' || sha256(text) AS url FROM documents)"""
 
 
 @query(f"""
@@ -573,9 +619,9 @@ def collected(spark: SparkSession, sf_dir: str, on_error: str = "skip", **option
 _SQL_COLLECT = rf"""d AS (
   SELECT doc_id, text, n_chars, lang, source, {_SQL_PORTAL} AS portal_idx, 1 + doc_id // 50 AS page_index,
     row_number() OVER (PARTITION BY lang, doc_id // 50 ORDER BY doc_id) AS position,
-    'https://' || lang || '.news.example/a/' || sha256(text) AS url,
-    CASE substr(sha256(text), 1, 1) WHEN '0' THEN 'parse' WHEN '1' THEN 'fetch' END AS error_kind,
-    'Nota ' || substr(sha256(text), 1, 3) AS title FROM documents),
+    'https://' || lang || '.news.example/a/' || slug AS url,
+    CASE WHEN slug < '04' THEN 'parse' WHEN slug >= '10' AND slug < '14' THEN 'fetch' END AS error_kind,
+    'Nota ' || sha256(text) AS title FROM (SELECT *, sha256(source || ' ' || text) AS slug FROM documents)),
 u AS (SELECT *, row_number() OVER (PARTITION BY portal_idx, url ORDER BY page_index, position) AS un FROM d),
 f AS (SELECT *, CASE WHEN un = 1 AND error_kind IS NULL THEN
     row_number() OVER (PARTITION BY portal_idx, title, un = 1 AND error_kind IS NULL ORDER BY page_index, position) END AS fn FROM u),
@@ -661,8 +707,8 @@ def collect_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {_SQL_COLLECT}
 SELECT url, 'noop:' || url AS fingerprint, 'inserted' AS status,
-  substr(sha256(concat_ws('␟', '2024-06-01 12:00:00', CAST(portal_idx * 1000000000000000000000000::HUGEINT
-    + page_index * 1000000000000::HUGEINT + position AS VARCHAR), url)), 1, 24) AS article_id,
+  substr(sha256(concat_ws('␟', '2024-06-01 12:00:00', CAST((portal_idx * 2147483648::HUGEINT
+    + page_index) * 9223372036854775808::HUGEINT + position AS VARCHAR), url)), 1, 24) AS article_id,
   '2024-06-01 12:00:00' AS processed_at
 FROM o WHERE un = 1 AND error_kind IS NULL
 """)
@@ -679,7 +725,7 @@ def _upsert_inputs(spark: SparkSession, sf_dir: str, url: Column | None = None)
     docs = table(spark, sf_dir, "documents")
     text = F.col("text")
     if url is None:
-        url = F.concat(F.lit("https://news.example/a/"), F.substring(F.sha2(text, 256), 1, 3))
+        url = F.concat(F.lit("https://news.example/a/"), F.sha2(text, 256))
     fields = [
         url.alias("url"), F.col("source").alias("portal_name"), title_of(text).alias("title"),
         F.lit(None).cast("string").alias("summary"), text.alias("content_html"), text.alias("content_text"),
@@ -697,11 +743,11 @@ def _upsert_inputs(spark: SparkSession, sf_dir: str, url: Column | None = None)
 
 
 _SQL_UPSERT = r"""w AS (
-  SELECT doc_id, lang, source, text, 'https://news.example/a/' || substr(sha256(text), 1, 3) AS url,
+  SELECT doc_id, lang, source, text, 'https://news.example/a/' || sha256(text) AS url,
     CAST(regexp_extract(source, '(\d+)$', 1) AS INTEGER) AS portal_idx FROM documents),
 n AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY portal_idx, doc_id) AS fwd,
     row_number() OVER (PARTITION BY url ORDER BY portal_idx DESC, doc_id DESC) AS bwd,
-    CAST(portal_idx * 1000000000000000000000000::HUGEINT + 1000000000000::HUGEINT + doc_id AS VARCHAR) AS ord FROM w),
+    CAST((portal_idx * 2147483648::HUGEINT + 1) * 9223372036854775808::HUGEINT + doc_id AS VARCHAR) AS ord FROM w),
 stored AS (SELECT url, substr(sha256(concat_ws('␟', 'old', ord, url)), 1, 24) AS stored_id FROM (
     SELECT *, row_number() OVER (PARTITION BY url ORDER BY portal_idx, doc_id) AS k FROM n WHERE lang = 'fr') WHERE k = 1),
 r AS (SELECT n.*, stored_id, coalesce(stored_id, substr(sha256(concat_ws('␟', 'new',
@@ -733,15 +779,34 @@ def upsert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("position", "url", "status", "article_id")
 
 
-@query()
+@query(rf"""
+WITH RECURSIVE {_SQL_UPSERT},
+known AS (SELECT list({{'k': url, 'd': stored_id}}) AS urls, list({{'k': replace(url, 'https://news.example/a/', ''), 'd': stored_id}}) AS fps FROM stored),
+incoming AS (
+  SELECT doc_id, ord, sha256(text) AS fp, row_number() OVER (ORDER BY portal_idx, doc_id) AS n, 'https://n.example/' || sha256(CAST(
+    ('0x' || substr(sha256(source || ' ' || text), 1, 15))::BIGINT % (SELECT count(*) FROM documents) AS VARCHAR)) AS url FROM n),
+state AS (
+  SELECT 0::BIGINT AS n, coalesce(urls, []) AS urls, coalesce(fps, []) AS fps, NULL::VARCHAR AS status, NULL::VARCHAR AS doc FROM known
+  UNION ALL
+  SELECT n, CASE WHEN status = 'write' THEN urls ELSE list_append(list_filter(urls, lambda x: x.d <> doc), {{'k': url, 'd': doc}}) END,
+    CASE WHEN status = 'write' THEN fps ELSE list_append(list_filter(fps, lambda x: x.d <> doc), {{'k': fp, 'd': doc}}) END, status, doc
+  FROM (
+    SELECT n, urls, fps, url, fp, CASE WHEN a <> b THEN 'write' WHEN a IS NULL AND b IS NULL THEN 'inserted' ELSE 'updated' END AS status,
+      CASE WHEN a <> b THEN NULL ELSE coalesce(a, b, substr(sha256(concat_ws('␟', 'new', ord, url)), 1, 24)) END AS doc
+    FROM (SELECT i.n, s.urls, s.fps, i.url, i.fp, i.ord, list_filter(s.urls, lambda x: x.k = i.url)[1].d AS a, list_filter(s.fps, lambda x: x.k = i.fp)[1].d AS b
+      FROM state s JOIN incoming i ON i.n = s.n + 1)))
+SELECT doc_id AS position, i.url, fp AS fingerprint, status, CASE WHEN status = 'inserted' THEN doc END AS article_id,
+  doc IS NOT NULL AND i.n = max(i.n) OVER (PARTITION BY doc) AS is_last
+FROM state s JOIN incoming i USING (n)
+""")
 def upsert_unique_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upsert where a new url with a stored fingerprint updates that document. The outcome of a
-    row depends on all earlier ones, so there is no SQL form; tests compare with a sequential model."""
-    # A url holds the texts of one of as many hash buckets as there are rows, the fingerprint one
-    # text, so both keys cross each other and no number of texts fills the urls.
+    """Upsert where a new url with a stored fingerprint updates that document. A url holds the texts
+    of one of as many hash buckets as there are rows, by source and text, and a fingerprint the
+    copies of one text, so both keys cross and no number of texts fills the urls."""
     rows = table(spark, sf_dir, "documents").count()
-    bucket = F.pmod(F.xxhash64("text"), F.lit(max(rows, 1))).cast("string")
-    _, stored = _upsert_inputs(spark, sf_dir, F.concat(F.lit("https://news.example/a/"), F.sha2("text", 256)))
+    place = F.conv(F.substring(slug_of(F.col("source"), F.col("text")), 1, 15), 16, 10).cast("long")
+    bucket = F.pmod(place, F.lit(max(rows, 1))).cast("string")
+    _, stored = _upsert_inputs(spark, sf_dir)
     incoming, _ = _upsert_inputs(spark, sf_dir, F.concat(F.lit("https://n.example/"), F.sha2(bucket, 256)))
     writes = plan_with_unique_fingerprint(incoming, stored, "new")
     return writes.select("position", "url", "fingerprint", "status", "article_id", "is_last")
@@ -752,22 +817,21 @@ WITH {_SQL_COLLECT}
 SELECT url, title, {_sql_collapse('text')} AS content_text, sha256('␟' || title) AS fingerprint FROM o WHERE outcome = 'persisted'
 """)
 def incremental_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The streaming job over landed files, read back from the article store."""
-    import uuid
-
-    from newsloom.session import staging_root
-    from newsloom.sources.store import current_articles
-    from newsloom.streaming.incremental import incremental_collect, landed_stream
-
+    """The streaming job, read back from the article store: the first half of the listings, whose
+    items have to wait, then all articles, then the other listings, whose articles came before."""
     plan, raw_pages = document_web(spark, sf_dir)
     root = f"{staging_root(spark)}/incremental-{uuid.uuid4().hex}"
-    raw_pages.write.parquet(f"{root}/landed")
-    job = incremental_collect(
-        landed_stream(spark, f"{root}/landed"), plan, f"{root}/store", Options(run_ts=RUN_TS), f"{root}/state"
-    )
-    job.awaitTermination()
-    columns = ["url", "title", "content_text", "fingerprint"]
-    return current_articles(spark, f"{root}/store/articles", columns)
+    last = plan.agg(F.max("page_index")).first()[0] or 0
+    is_list = F.col("request_url").contains("/list/")
+    page = F.substring_index("request_url", "/", -1).try_cast("int")
+    first_half = is_list & (page * 2 <= last)
+    for step in (first_half, ~is_list, is_list & ~first_half):
+        raw_pages.where(F.coalesce(step, F.lit(False))).write.mode("append").parquet(f"{root}/landed")
+        stream = landed_stream(spark, f"{root}/landed")
+        earlier = spark.read.schema(stream.schema).parquet(f"{root}/landed")
+        options = Options(run_ts=RUN_TS)
+        incremental_collect(stream, plan, f"{root}/store", options, f"{root}/state", remember=True, earlier=earlier).awaitTermination()
+    return current_articles(spark, f"{root}/store/articles", ["url", "title", "content_text", "fingerprint"])
 
 
 __all__ = ["QUERIES", "SQL", "collected"]

@@ -15,7 +15,7 @@ Factories are required text but are not loaded: the options configure the Spark
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,6 +93,40 @@ def _get(value: Column, path: str, as_type: str = "variant") -> Column:
     return F.try_variant_get(value, path, as_type)
 
 
+# Kinds of a variant that are whole numbers.
+_WHOLE = ("TINYINT", "SMALLINT", "INT", "INTEGER", "BIGINT")
+_ABSENT = ("MISSING", "VOID")
+NUMBERS = ("start", "stop", "step", "count", "limit")
+
+
+def _is_whole(value: Column) -> Column:
+    """A whole number of 32 bits, or one written as text."""
+    return _kind(value).isin(*_WHOLE, "STRING") & F.trim(_get(value, "$", "string")).try_cast("int").isNotNull()
+
+
+def _pagination_rules() -> list[tuple[str, Callable[[Column], Column]]]:
+    """Rules that a pagination setting breaks, each a function of the setting."""
+    at = lambda p, name: _get(p, f"$.{name}")
+    given = lambda p, name: ~_kind(at(p, name)).isin(*_ABSENT)
+    pages = lambda p: _get(p, "$.pages", "array<variant>")
+    number = lambda name: lambda p: given(p, name) & ~_is_whole(at(p, name))
+    return [
+        ("pagination must be an object", lambda p: ~_kind(p).isin("OBJECT", *_ABSENT)),
+        *[(f"pagination {name} must be a whole number", number(name)) for name in NUMBERS],
+        ("pagination limit must not be negative", lambda p: F.coalesce(F.trim(_get(p, "$.limit", "string")).try_cast("int") < 0, F.lit(False))),
+        (
+            "pagination pages must be a list of whole numbers",
+            lambda p: given(p, "pages") & ((_kind(at(p, "pages")) != "ARRAY") | F.exists(pages(p), lambda x: ~_is_whole(x))),
+        ),
+        ("pagination param must be text", lambda p: given(p, "param") & (_kind(at(p, "param")) != "STRING")),
+        ("pagination params must be an object", lambda p: given(p, "params") & (_kind(at(p, "params")) != "OBJECT")),
+    ]
+
+
+def _broken_by(rule: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda setting: F.coalesce(rule(setting), F.lit(False))
+
+
 def config_violations(configs: DataFrame) -> DataFrame:
     """``(file, rule)`` for every broken rule; an empty result means all configs are valid."""
     doc = F.try_parse_json("text")
@@ -123,6 +157,10 @@ def config_violations(configs: DataFrame) -> DataFrame:
             (f"component {name} needs a factory", is_object & (at(path) == "OBJECT") & blank(f"{path}.factory")),
             (f"component {name} options must be an object", is_object & optional_object(f"{path}.options")),
         ]
+    default = _get(doc, "$.components.scraper.options.pagination")
+    settings = F.array_append(F.transform(pages, lambda p: _get(p, "$.pagination")), default)
+    for rule, breaks in _pagination_rules():
+        rules.append((rule, is_object & F.exists(settings, _broken_by(breaks))))
     broken = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.lit(rule)) for rule, bad in rules]))
     return configs.select("file", F.explode(broken).alias("rule"))
 
@@ -202,7 +240,7 @@ def build_page_plan(
 
 def _usable(pagination: Column) -> Column:
     """Typed pagination: numbers written as text count; an empty object counts as none."""
-    numbers = ("start", "stop", "step", "count", "limit")
+    numbers = NUMBERS
     whole = lambda text: F.trim(text).try_cast("int")
     typed = F.struct(
         pagination["param"].alias("param"),

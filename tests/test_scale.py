@@ -58,12 +58,35 @@ def test_hot_keys_keep_the_first(spark):
 
 def test_order_keys_sort_numerically(spark):
     rng = random.Random(3)
-    rows = [(rng.choice([0, 9, 10, 2**31 - 1]), rng.choice([1, 99, 100]), rng.randrange(10**11), "k") for _ in range(50)]
+    rows = [(rng.choice([0, 9, 10, 2**31 - 1]), rng.choice([1, 99, 100]), rng.choice([10**11, 10**15, 2**62]) + rng.randrange(10**9), "k") for _ in range(50)]
     df = spark.createDataFrame(rows, "portal_idx int, page_index int, position bigint, url string")
     first = mark_first(df, ["url"], "first").filter("first").collect()
     assert [tuple(r[:3]) for r in first] == [min(rows)[:3]]
 
 
+@pytest.mark.parametrize("kinds", [("int", "int", "bigint"), ("bigint", "bigint"), ("int", "int"), ("int",), ("bigint", "int", "string")])
+def test_order_keys_up_to_the_largest_numbers(spark, kinds):
+    """Places of 64 bits sort and come back as they are; other types and widths keep a struct."""
+    from newsloom.operators.dedup import pack_order, unpack_order
+
+    rng, names = random.Random(4), ["a", "b", "c"][: len(kinds)]
+    top = {"int": 2**31 - 1, "bigint": 2**63 - 1}
+    value = {k: lambda k=k: rng.choice([0, 1, 10**12 % top[k], top[k] - rng.randrange(3), rng.randrange(top[k])]) for k in top}
+    value["string"] = lambda: rng.choice("xyz")
+    rows = [tuple(value[k]() for k in kinds) for _ in range(80)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    packed = df.select(pack_order(df, names).alias("p"), *names).orderBy("p")
+    back = packed.select(*unpack_order(F.col("p"), df, names))
+    assert [tuple(r) for r in back.collect()] == sorted(rows)
+    assert dict(back.dtypes) == dict(df.dtypes)
+
+
+def test_a_negative_place_ends_the_job(spark):
+    df = spark.createDataFrame([(0, 1, -1, "k")], "portal_idx int, page_index int, position bigint, url string")
+    with pytest.raises(Exception, match="negative order column position"):
+        mark_first(df, ["url"], "first").collect()
+
+
 def test_dedup_and_upsert_never_window_over_keys(spark, no_broadcast):
     df = keyed(spark, 100)
     for plan in (plan_text(mark_first(df, ["portal_idx", "url"], "f")), plan_text(plan_by_url(df, None, "r"))):

@@ -151,7 +151,7 @@ def _items(spark, rows):
 
 def _pages(spark, n):
     return spark.createDataFrame(
-        [(0, "p", i, f"https://example.com/page-{i}/", {"section": "home"}) for i in range(1, n + 1)],
+        [(0, "p", i, f"https://radar.example/mapa/{i}/", {"zone": "sul"}) for i in range(1, n + 1)],
         "portal_idx int, portal string, page_index int, page_url string, page_meta map<string,string>",
     )
 
@@ -161,14 +161,14 @@ def test_repetitions_over_three_pages(spark):
         (1, 1, "/chuva", "Chuva", "<p>choveu</p>", "<p>chuva forte</p>", ["tempo"], None),
         (1, 2, "/sol", "Chuva", "<p>parou</p>", None, [], None),
         (1, 3, "/chuva", "Outra", "<p>de novo</p>", None, [], None),
-        (2, 1, "https://example.com/chuva", "Outra", "<p>de novo</p>", None, [], None),
+        (2, 1, "https://radar.example/chuva", "Outra", "<p>de novo</p>", None, [], None),
         (2, 2, "vento", "Vento", "<p>soprou</p>", None, [], None),
     ]
     result = collect_items(_items(spark, rows), _pages(spark, 3), Options(run_ts="2023-06-06", fields="title"))
     fates = [r.outcome for r in result.outcomes.orderBy("page_index", "position").collect()]
     assert fates == ["persisted", "fingerprint", "url", "url", "persisted"]
     docs = {r.url: r.summary for r in result.changes.collect()}
-    assert docs == {"https://example.com/chuva": "chuva forte", "https://example.com/page-2/vento": "soprou"}
+    assert docs == {"https://radar.example/chuva": "chuva forte", "https://radar.example/mapa/2/vento": "soprou"}
     m = result.metrics.first()
     assert (m.processed, m.skipped, m.pages_total, m.pages_fetched) == (2, {"fingerprint": 1, "url": 2}, 3, 3)
 
@@ -179,15 +179,15 @@ def test_invalid_item_hides_later_ones(spark):
         (1, 2, "/a", "A", "<p>ok</p>", None, [], None),
         (1, 3, " ", "B", "<p>ok</p>", None, [], None),
         (1, 4, "", "C", "<p>ok</p>", None, [], None),
-        (1, 5, "/d", None, "<p>texto , aqui</p>", "", [], "ontem"),
+        (1, 5, "/d", None, "<p>texto , aqui</p>", "", [], " HOJE "),
     ]
-    options = Options(run_ts="2024-01-01 12:00:00", reference="2024-01-10 15:00:00", fields="title")
+    options = Options(run_ts="2024-01-01 12:00:00", reference="2023-03-15 20:15:00", fields="title")
     result = collect_items(_items(spark, rows), _pages(spark, 1), options)
     assert [r.outcome for r in result.outcomes.orderBy("position").collect()] == [
         "invalid", "url", "invalid", "invalid", "persisted"]
     doc = result.changes.first()
     assert (doc.title, doc.summary, doc.content_text) == ("Sem título", None, "texto, aqui")
-    assert str(doc.published_at) == "2024-01-09 00:00:00"
+    assert str(doc.published_at) == "2023-03-15 00:00:00"
 
 
 def test_skip_dedup_and_since(spark):
@@ -200,7 +200,7 @@ def test_skip_dedup_and_since(spark):
     options = Options(run_ts="2024-01-01 12:00:00", fields="title", skip_dedup=True, since="2024-02-01")
     result = collect_items(_items(spark, rows), _pages(spark, 1), options)
     assert [r.outcome for r in result.outcomes.orderBy("position").collect()] == ["since", "persisted", "persisted", "url"]
-    assert {r.fingerprint for r in result.items.collect()} == {"noop:https://example.com/page-1/b".replace("/page-1", ""), "noop:https://example.com/c"}
+    assert {r.fingerprint for r in result.items.collect()} == {"noop:https://radar.example/b", "noop:https://radar.example/c"}
 
 
 def test_page_override_keeps_portal_name(spark, tmp_path):

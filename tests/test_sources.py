@@ -122,7 +122,7 @@ def test_plan_metadata_tags_and_options(spark, tmp_path):
     write_configs(tmp_path, one=body)
     plan = load_page_plan(spark, directory=str(tmp_path)).orderBy("page_index")
     first, second = plan.withColumn("names", F.map_keys("pagination.params")).collect()
-    assert first.page_meta["portal_name"] == "Own" and first.page_meta["region"] == "nordeste"
+    assert first.page_meta["portal_name"] == "Own" and first.page_meta["coast"] == "norte"
     assert first.page_tags == ["a", "b,c"] and second.page_tags == ["x", "y"]
     assert first.names == ["z", "a"] and second.pagination is None
     assert json.loads(first.article_options)["allowed_tags"] == ["p"]
@@ -195,3 +195,37 @@ def test_ingest_dates_and_tags(spark):
     assert [r.error_kind for r in rows] == [None, "normalize", None]
     assert [r.tags for r in rows] == [["a"], ["d"], ["d"]]
     assert str(rows[0].published_at) == "2024-01-01 10:00:00" and rows[2].published_at is None
+
+
+PAGINATION_RULES = [
+    ([1, 2], {"must be an object"}),
+    ("x", {"must be an object"}),
+    ({"start": "x"}, {"start must be a whole number"}),
+    ({"stop": 2.5, "step": True}, {"stop must be a whole number", "step must be a whole number"}),
+    ({"count": 1.5}, {"count must be a whole number"}),
+    ({"count": 10**12}, {"count must be a whole number"}),
+    ({"limit": -1}, {"limit must not be negative"}),
+    ({"limit": " -2 "}, {"limit must not be negative"}),
+    ({"pages": ["1", "q"]}, {"pages must be a list of whole numbers"}),
+    ({"pages": 3}, {"pages must be a list of whole numbers"}),
+    ({"pages": [1, None]}, {"pages must be a list of whole numbers"}),
+    ({"param": 1, "params": []}, {"param must be text", "params must be an object"}),
+    ({"start": " 2 ", "stop": "4", "step": -1, "pages": [1, "2"], "limit": 0, "param": "p", "params": {"a": "b"}}, set()),
+    ({"start": None, "pages": None, "params": None}, set()),
+    ({}, set()),
+    (None, set()),
+]
+
+
+@pytest.mark.parametrize("where", ["page", "portal"])
+def test_every_bad_pagination_is_a_violation(spark, where):
+    rows = []
+    for i, (setting, _) in enumerate(PAGINATION_RULES):
+        page = {"url": "https://x/1"} | ({"pagination": setting} if where == "page" else {})
+        body = config(pages=[{"url": "https://x/0"}, page])
+        if where == "portal":
+            body["components"]["scraper"]["options"]["pagination"] = setting
+        rows.append((i, str(i), json.dumps(body)))
+    found = config_violations(spark.createDataFrame(rows, "portal_idx int, file string, text string")).collect()
+    for i, (setting, expected) in enumerate(PAGINATION_RULES):
+        assert {r.rule for r in found if r.file == str(i)} == {f"pagination {x}" for x in expected}, setting
