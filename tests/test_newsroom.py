@@ -1,0 +1,291 @@
+"""Mentions, feeds, canonical addresses and ingestion metrics against plain models."""
+
+import datetime
+import random
+import re
+import unicodedata
+from collections import Counter, defaultdict
+from email.utils import parsedate_to_datetime
+from urllib.parse import urlsplit
+
+import pytest
+from pyspark.sql import functions as F
+
+from newsloom.functions.text import fold
+from newsloom.functions.urls import canonical_url
+from newsloom.operators import ingestion
+from newsloom.operators.mentions import MentionOptions, find_mentions, mentions_by_entity
+from newsloom.sources.feeds import by_priority, parse_feed_date, read_feeds
+
+
+# mentions ----------------------------------------------------------------------------------
+def plain(text):
+    """Text without accents, as long as before."""
+    return "".join(b if (b := unicodedata.normalize("NFD", c)[0]).isascii() else c for c in text).lower()
+
+
+NAMES = [  # entity, alias, state, weight
+    (1, "São José dos Campos", "SP", 700), (2, "São José", "SC", 200), (3, "Campos", "RJ", 500), (4, "São José", "RN", 50),
+    (5, "Bom Jesus", "PI", 10), (6, "Bom Jesus", "RS", 10), (7, "bom-jesus da Lapa", "BA", 60), (8, "Itu", "SP", 170),
+    (9, "São José dos Campos", "MG", 900), (10, "Campos do Jordão", "SP", 50), (11, "D'Oeste", "SP", 5), (12, "...", "AM", 5),
+]
+PLACE = re.compile(r"[^\W_]+")
+
+
+def model_mentions(text, own):
+    """Scan from left to right; at every word try the longest name first."""
+    words = [(m.start(), m.end(), plain(m[0])) for m in PLACE.finditer(text)]
+    names = defaultdict(list)
+    for entity, alias, uf, weight in NAMES:
+        names[tuple(plain(m[0]) for m in PLACE.finditer(alias))].append((entity, uf, weight))
+    names.pop((), None)
+    found, i = [], 0
+    while i < len(words):
+        for size in range(4, 0, -1):
+            key = tuple(w for _, _, w in words[i : i + size])
+            gaps = [text[words[j][1] : words[j + 1][0]] for j in range(i, min(i + size, len(words)) - 1)]
+            if len(key) == size and key in names and all(g and set(g) <= set(" \t\xa0'’-") for g in gaps):
+                found.append((words[i][0], words[i + size - 1][1], names[key]))
+                i += size - 1
+                break
+        i += 1
+    around = Counter(e[0][1] for *_, e in found if len(e) == 1)
+    out = []
+    for start, end, entities in found:
+        said = re.match(r"[ \t]?(?:[-/,–][ \t]?|\()([A-Z]{2})(?![^\W_])", text[end:])
+        said = said[1] if said else None
+        best = min(entities, key=lambda e: (e[1] != said, e[1] != own, -around[e[1]], -e[2], e[0]))
+        out.append((start, end, best[0], best[1]))
+    return out
+
+
+TEXTS = [
+    ("Em SAO JOSÉ DOS CAMPOS, perto de campos do jordão.", None), ("São José (SC) e São José/RN; São José", "RN"), ("São José dos Campos do Jordão", "MG"),
+    ("bom  jesus - RS. Bom\nJesus! Bom Jesus da lapa", None), ("Itu, Itu-SP, itus, aitu, d’oeste d'Oeste", None), ("Bom Jesus perto de Itu e Bom jesus-da-Lapa", None),
+    ("São José perto de Campos do Jordão e Itu", None), ("São José (RNX) São José, RN", "SC"), ("", None), (None, "SP"), ("İtu Itu", None),
+]
+
+
+def mention_frames(spark, texts):
+    articles = spark.createDataFrame([(str(i), t, u, 1) for i, (t, u) in enumerate(texts)], "article_id string, text string, uf string, start int").repartition(3)
+    aliases = spark.createDataFrame([(*n, "x") for n in NAMES], "entity_id long, alias string, uf string, weight long, key string")
+    return articles, aliases
+
+
+@pytest.mark.parametrize("limit", [16 << 20, 0])
+def test_mentions_equal_a_scan(spark, limit):
+    rng = random.Random(3)
+    parts = [n[1] for n in NAMES] + ["São", "dos", "jordão", "da", "x", "perto", "(SP)", "/RN", "- SC", ",", "."]
+    texts = TEXTS + [(rng.choice(["", " "]).join([""] + [rng.choice(parts) + rng.choice([" ", " ", "-", ", "]) for _ in range(rng.randrange(1, 40))]), rng.choice([None, "SP", "RN"])) for _ in range(60)]
+    texts = [(unicodedata.normalize("NFC", t) if t and k != 7 else t, u) for k, (t, u) in enumerate(texts)]
+    got = defaultdict(list)
+    for r in find_mentions(*mention_frames(spark, texts), MentionOptions(broadcast_bytes=limit, salts=3)).collect():
+        got[r.article_id].append((r.start, r.finish, r.entity_id, r.uf))
+    for i, (text, own) in enumerate(texts):
+        if i != 7:
+            assert sorted(got[str(i)]) == model_mentions(text or "", own), text
+    # marks that follow their letter count as part of it; a longer word behind is no state
+    assert sorted(got["7"]) == [(0, 10, 2, "SC"), (17, 25, 4, "RN")]
+
+
+def test_mentions_odd_inputs(spark):
+    articles, aliases = mention_frames(spark, [("Itu e Itu", None)])
+    twice = find_mentions(articles.union(articles), aliases)
+    assert sorted((r.start, r.finish) for r in twice.collect()) == [(0, 3), (6, 9)]
+    assert find_mentions(articles.limit(0), aliases).collect() == []
+    assert find_mentions(articles, aliases.limit(0)).collect() == []
+    assert find_mentions(articles, aliases.where("alias = '...'")).collect() == []
+    row = mentions_by_entity(twice).first()
+    assert (row.entity_id, row.n_mentions, row.first_start) == (8, 2, 0)
+
+
+def test_a_hot_name_is_salted(spark):
+    """A name in every article, beyond the byte bound: the join key holds a salt."""
+    articles = spark.range(2000).select(F.col("id").cast("string").alias("article_id"), F.lit("Itu e Itu").alias("text"))
+    _, aliases = mention_frames(spark, [])
+    found = find_mentions(articles, aliases, MentionOptions(broadcast_bytes=0))
+    assert found.count() == 4000 and found.where("entity_id <> 8").isEmpty()
+
+
+def test_fold_keeps_places(spark):
+    text = "".join(chr(c) for c in [*range(0x20, 0x250), *range(0x1E00, 0x1F00)] if c != 0x130)
+    row = spark.createDataFrame([(text,)], "t string").select(fold(F.col("t")).alias("f")).first()
+    assert len(row.f) == len(text) and all(a == plain(b) for a, b in zip(row.f, text))
+
+
+# feeds -------------------------------------------------------------------------------------
+RSS = """<?xml version="1.0"?><!-- c --><rss version="2.0" xmlns:dc="urn:d" xmlns:content="urn:c" xmlns:atom="urn:a"><channel>
+<atom:link href="https://x/feed" rel="self"/><title>T</title><link>https://x</link>
+<item><title> A &amp;
+ B </title><link>
+ /1 </link><guid isPermaLink="false">g1</guid><description><![CDATA[<p>hi</p>]]></description><content:encoded><![CDATA[<b>full</b>]]></content:encoded>
+ <pubDate>Mon, 01 Jan 2024 10:00:00 -0300</pubDate><category>c1</category><category domain="q"> c2 </category><category/></item>
+<item><title/><guid>https://x/2</guid><dc:date>2024-01-02T00:00:00Z</dc:date></item><item><title>no address</title><guid>7</guid></item></channel></rss>"""
+ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><title type="html">X</title><link rel="self" href="/s"/><link rel="alternate" href="e1"/>
+<summary>s</summary><updated>2024-01-01T00:00:00+01:00</updated><category term="k"/></entry></feed>"""
+RDF = '<rdf:RDF xmlns:rdf="r" xmlns="p"><channel/><item><title>R</title><link>https://o/u</link></item></rdf:RDF>'
+MAP = '<urlset xmlns:news="urn:n"><url><loc>https://x/a</loc><lastmod>2024-01-05</lastmod></url><url><loc>https://x/b</loc><news:news><news:title>NT</news:title><news:publication_date>2024-02-01</news:publication_date></news:news></url><url><loc> </loc></url></urlset>'
+INDEX = "<sitemapindex><sitemap><loc>https://x/map</loc></sitemap><sitemap><loc>/none</loc></sitemap><sitemap><loc>/index</loc></sitemap><sitemap><loc>/map2</loc></sitemap></sitemapindex>"
+FEEDS = {
+    "rss": RSS, "atom/": ATOM, "rdf": RDF, "map": MAP, "index": INDEX, "cut": RSS[:-20], "html": "<html><body>x</body></html>", "blank": "",
+    "none": None, "map2": "<urlset><url><loc>c?a=1&amp;b=2</loc></url></urlset>", "empty": "<rss><channel></channel></rss>", "text": "no xml",
+}
+
+
+def test_feeds_of_all_kinds(spark):
+    landed = [(f"https://x/{k}", None, 200, v) for k, v in FEEDS.items() if k != "none"] + [("https://x/gone", None, 404, RSS), ("https://x/nul", None, 200, None)]
+    raw = spark.createDataFrame(landed, "request_url string, final_url string, status_code int, html string")
+    names = [*FEEDS, "gone", "nul"]
+    plan = spark.createDataFrame([(i, n, 1, f"https://x/{n}") for i, n in enumerate(names)], "portal_idx int, portal string, page_index int, page_url string")
+    feeds = read_feeds(plan, raw)
+    states = {(r.portal, r.parent_url, r.request_url): (r.kind, r.error_kind, r.n_items) for r in feeds.states.collect()}
+    own = {p: s for (p, parent, _), s in states.items() if parent is None}
+    assert own == {
+        "rss": ("rss", None, 2), "atom/": ("rss", None, 1), "rdf": ("rss", None, 1), "map": ("sitemap", None, 2), "index": ("index", None, 0),
+        "cut": (None, "parse", 0), "html": (None, "parse", 0), "blank": (None, "parse", 0), "none": (None, "fetch", 0), "map2": ("sitemap", None, 1),
+        "empty": ("rss", None, 0), "text": (None, "parse", 0), "gone": (None, "fetch", 0), "nul": (None, "parse", 0),
+    }
+    below = {u: s for (_, parent, u), s in states.items() if parent == "https://x/index"}
+    assert below["https://x/map"] == ("sitemap", None, 2) and below["https://x/none"] == (None, "fetch", 0) and below["https://x/map2"] == ("sitemap", None, 1)
+    items = defaultdict(list)
+    for r in feeds.items.orderBy("portal_idx", "position").collect():
+        items[r.portal].append((r.position, r.url, r.title, "|".join(r.tags), r.published_at and str(r.published_at)))
+    assert items["rss"] == [(1, "https://x/1", "A & B", "c1|c2", "2024-01-01 13:00:00"), (2, "https://x/2", None, "", "2024-01-02 00:00:00")]
+    assert items["atom/"] == [(1, "https://x/atom/e1", "X", "k", "2023-12-31 23:00:00")]
+    assert items["rdf"] == [(1, "https://o/u", "R", "", None)]
+    assert items["map"] == [(1, "https://x/a", None, "", "2024-01-05 00:00:00"), (2, "https://x/b", "NT", "", "2024-02-01 00:00:00")]
+    assert [x[:2] for x in items["index"]] == [(1, "https://x/a"), (2, "https://x/b"), (3, "https://x/c?a=1&b=2")]
+    first = feeds.items.where("portal = 'rss' AND position = 1").first()
+    assert (first.summary_html, first.content_html, first.guid, first.strategy) == ("<p>hi</p>", "<b>full</b>", "g1", "rss")
+
+
+def test_nested_index_is_an_error(spark):
+    raw = spark.createDataFrame([("https://x/index", None, 200, INDEX)], "request_url string, final_url string, status_code int, html string")
+    plan = spark.createDataFrame([(0, "p", 1, "https://x/index")], "portal_idx int, portal string, page_index int, page_url string")
+    states = read_feeds(plan, raw).states.where("request_pos = 2").collect()
+    assert [(r.request_url, r.error_kind, r.n_items) for r in states] == [("https://x/index", "parse", 0)]
+
+
+def test_mail_dates(spark):
+    days = ["Mon, 01 Jan 2024 10:00:00 GMT", "1 Feb 2024 10:20 -0330", "Tue, 02 Jan 24 03:04:05 EST", "Wed, 03 Jan 1996 00:00:00 +0200", "31 Dec 99 23:59:59 UT"]
+    got = [r.d for r in spark.createDataFrame(list(enumerate(days)), "i int, t string").orderBy("i").select(parse_feed_date(F.col("t")).alias("d")).collect()]
+    assert got == [parsedate_to_datetime(d).astimezone(datetime.UTC).replace(tzinfo=None) for d in days]
+    bad = ["Mon, 32 Jan 2024 10:00:00 GMT", "1 Foo 2024 10:00:00 GMT", "1 Jan 2024 10:00:00 XYZ", "", None, "2024-01-05T00:00:00+02:00"]
+    got = [r.d for r in spark.createDataFrame(list(enumerate(bad)), "i int, t string").orderBy("i").select(parse_feed_date(F.col("t")).alias("d")).collect()]
+    assert got == [None] * 5 + [datetime.datetime(2024, 1, 4, 22)]
+
+
+def test_first_strategy_with_items_wins(spark):
+    items = spark.createDataFrame([(0, "rss", "a"), (0, "listing", "b"), (1, "listing", "c"), (2, "sitemap", "d"), (2, "rss", "e"), (3, "amp", "f")], "portal_idx int, strategy string, url string")
+    order = [["rss", "listing"], ["rss", "listing"], ["sitemap", "rss"], ["rss"]]
+    priorities = spark.createDataFrame(list(enumerate(order)), "portal_idx int, priority array<string>")
+    assert sorted(r.url for r in by_priority(items, priorities).collect()) == ["a", "c", "d"]
+
+
+# addresses ---------------------------------------------------------------------------------
+UNRESERVED = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-._~"
+
+
+def model_percent(text):
+    out, i = "", 0
+    while i < len(text):
+        if text[i] == "%" and re.fullmatch("[0-9A-Fa-f]{2}", text[i + 1 : i + 3]):
+            char = chr(int(text[i + 1 : i + 3], 16))
+            out += char if char in UNRESERVED else text[i : i + 3].upper()
+            i += 3
+        else:
+            out += "%25" if text[i] == "%" else text[i]
+            i += 1
+    return out
+
+
+def model_canonical(url):
+    parts = urlsplit(url)
+    user, at, host = parts.netloc.rpartition("@")
+    host = re.sub(rf":({'80' if parts.scheme.lower() == 'http' else '443'})?$", "", host.lower())
+    path, kept = model_percent(parts.path), []
+    if re.search(r"(^|/)\.\.?(/|$)", path):
+        steps = path.split("/")
+        for step in steps:
+            if step == "..":
+                kept and kept.pop()
+            elif step != ".":
+                kept.append(step)
+        path = "/".join(kept + ([""] if steps[-1] in (".", "..") else [])) or "/"
+    if not path.startswith("/"):
+        path = "/" + path
+    tracked = lambda q: (k := q.split("=")[0].lower()).startswith("utm_") or k in ("gclid", "fbclid")
+    query = "&".join(sorted(q for p in parts.query.split("&") if p and not tracked(q := model_percent(p))))
+    return f"{parts.scheme.lower()}://{user}{at}{host}{path}" + (f"?{query}" if query else "")
+
+
+def test_canonical_urls_equal_a_model_and_stay(spark):
+    rng = random.Random(8)
+    pick = lambda *xs: rng.choice(xs)
+    segment = lambda: pick("a", "B", ".", "..", "%7e", "%2F", "%zz", "é", "x%", "", "%2e%2E", "c d")
+    pair = lambda: pick("a=1", "b=%41", "utm_source=x", "UTM_x", "gclid=1", "z", "", "a=0", "%75tm_id=3", "q=%2b%", "B=2")
+    urls = []
+    for _ in range(400):
+        netloc = pick("", "", "u@", "U:p@") + pick("Example.COM", "h", "h:80", "h:443", "h:8080", "h:")
+        path = pick("", "/") and "/" + "/".join(segment() for _ in range(rng.randrange(0, 5)))
+        query = pick("", "?") and "?" + "&".join(pair() for _ in range(rng.randrange(0, 5)))
+        urls.append(f"{pick('http', 'HTTPS', 'https')}://{netloc}{path}{query}{pick('', '#f', '#')}")
+    rows = spark.createDataFrame(list(enumerate(urls)), "i int, u string").withColumn("c", canonical_url(F.col("u")))
+    got = rows.withColumn("again", canonical_url(F.col("c"))).orderBy("i").collect()
+    assert [r.c for r in got] == [model_canonical(u) for u in urls]
+    assert all(r.c == r.again for r in got)
+    odd = spark.createDataFrame([("mailto:a@b",), (" ",), (None,), ("/p?utm_x=1",)], "u string").select(canonical_url(F.col("u")).alias("c"))
+    assert [r.c for r in odd.collect()] == ["mailto:a@b", None, None, "/p?utm_x=1"]
+
+
+# metrics -----------------------------------------------------------------------------------
+def test_sketches_merge_to_one_pass_within_the_error(spark):
+    rng = random.Random(5)
+    values = [rng.choice([0, 1, 255, 256, 2**40, 2**62, rng.randrange(300), int(rng.lognormvariate(9, 2))]) for _ in range(5000)] + [None, -5]
+    rows = spark.createDataFrame([(i % 3, i % 7, v) for i, v in enumerate(values)], "source int, run int, ms long")
+    one = ingestion.latency_sketch(rows, ["source"], "ms")
+    runs = ingestion.latency_sketch(rows, ["source", "run"], "ms")
+    halves = [ingestion.merged_sketch(runs.where(f"run % 2 = {k}"), ["source"]) for k in (0, 1)]
+    merged = ingestion.merged_sketch(halves[0].union(halves[1]), ["source"])
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, one.collect()))
+    got = {r.source: r for r in ingestion.quantiles(merged, ["source"], [1, 50, 95, 100]).collect()}
+    for source in range(3):
+        own = sorted(max(v, 0) for i, v in enumerate(values) if i % 3 == source and v is not None)
+        for p in (1, 50, 95, 100):
+            exact = own[-(-p * len(own) // 100) - 1]
+            assert exact <= got[source][f"p{p}"] <= exact * (1 + 2**-7), (source, p)
+            assert exact >= 256 or got[source][f"p{p}"] == exact
+
+
+def test_metrics_of_several_runs(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, None, "direct", False, 10), ("a", 1, "parse", "headless", False, 20), ("a", 2, None, "amp", True, 30), ("b", 2, "fetch", "direct", False, None)],
+        "source string, run int, error_kind string, method string, reprocessed boolean, ms long",
+    )
+    counters, sketch = ingestion.run_counters(rows, ["source", "run"]), ingestion.latency_sketch(rows, ["source", "run"], "ms")
+    got = {r.source: r for r in ingestion.ingestion_metrics(counters, sketch, ["source"]).collect()}
+    assert got["a"].asDict() == dict(source="a", attempts=3, errors=1, fallbacks=2, reprocessed=1, error_share=3333, fallback_share=6666, p50=20, p95=30)
+    assert (got["b"].errors, got["b"].error_share, got["b"].p50) == (1, 10000, None)
+
+
+def test_a_missing_day_is_a_drop(spark):
+    day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(n)
+    rows = [("a", day(n), None) for n in range(12) for _ in range(4) if n not in (9,)] + [("b", day(n), "parse" if n == 10 else None) for n in (0, 10, 11)]
+    frame = spark.createDataFrame(rows, "source string, day date, error_kind string")
+    series = ingestion.daily_series(frame, "source", "day", [F.count("*").alias("articles"), F.count("error_kind").alias("errors")])
+    assert series.count() == 24 and series.where("source = 'a' AND day = '2024-01-10'").first().articles == 0
+    got = {(r.source, str(r.day), r.kind): (r.n, r.before, r.baseline_n) for r in ingestion.alerts(series, "source", "day").collect()}
+    assert got == {("a", "2024-01-10", "drop"): (0, 4, 28), ("b", "2024-01-11", "rise"): (1, 0, 0)}
+    assert ingestion.daily_series(frame.limit(0), "source", "day", [F.count("*").alias("articles")]).collect() == []
+
+
+def test_top_of_a_period_with_ties(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice("pq"), f"k{rng.randrange(30)}") for _ in range(600)] + [("p", "hot")] * 500 + [("p", None)] * 50
+    got = ingestion.top_per_period(spark.createDataFrame(rows, "period string, key string"), "period", "key", 4, salts=3).collect()
+    expected = []
+    for period in "pq":
+        counts = Counter(k for p, k in rows if p == period and k is not None)
+        best = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:4]
+        expected += [(period, k, n, i) for i, (k, n) in enumerate(best, 1)]
+    assert sorted(tuple(r) for r in got) == sorted(expected)
