@@ -11,6 +11,10 @@ size that only grows. A phrase is counted in step ``t`` if the filter of step ``
 of its shorter phrases and the one of a cycle before did not. That is exactly one cycle from the
 first step at which the filter knew them. A chance hit of the filter therefore makes a phrase be
 counted that need not be, over a full cycle too; it never changes a count.
+
+While the cycles run, a phrase is the 64-bit hash of its language and words, so that open
+counts stay narrow. Phrases that share a hash can only look more frequent than they are. A last
+scan counts the phrases themselves whose hash is frequent, and its counts are the result.
 """
 
 from __future__ import annotations
@@ -23,10 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.words import Slice, mix, slices, window_hashes
+from newsloom.llm.words import Slice, buffers, mix, slices
 from newsloom.session import Staging, spread
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BREAKS = ".,;:!?\n\x0b\x0c\r"
 UNKNOWN = "und"
 LONGEST = 4
@@ -34,6 +37,8 @@ LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29  # the filter takes 128 kB to 64 MB
 _BLOCK = 1 << 19  # bits of the filter in one row on their way to the driver
 _COUNTS = "lang string, phrase string, n_words int, n long"
 _SALTS = 64
+_SPELLED = 64 << 20  # bytes of text that a task of the last scan reads at least
+_NO_SIZE, _STEP = np.uint64(0xFFFFFFFFFFFFFFFC), np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -48,7 +53,7 @@ class PhraseOptions:
     share: int = 80
     scale: int = 2_000_000
     top: int = 2000
-    shards: int = 4
+    shards: int = 2
 
 
 class _Filter:
@@ -65,15 +70,45 @@ class _Filter:
     def with_blocks(self, blocks: list[tuple[int, bytes]]) -> _Filter:
         packed = self.packed.copy()
         for block, content in blocks:
-            low = block * (_BLOCK // 8)
-            packed[low : low + _BLOCK // 8] |= np.frombuffer(content, dtype=np.uint8)
+            part = packed[block * (_BLOCK // 8) :][: _BLOCK // 8]
+            part |= np.frombuffer(content, dtype=np.uint8)[: len(part)]
         return _Filter(self.bits, packed)
 
 
-def _pieces(text: Column) -> Column:
-    """Words joined by one blank within a piece, pieces by a line break."""
-    plain = F.translate(text, _UPPER + _BREAKS + "\t", _UPPER.lower() + "\n" * len(_BREAKS) + " ")
-    return F.btrim(F.regexp_replace(F.regexp_replace(plain, "[ ]*\n[ \n]*", "\n"), " {2,}", " "), F.lit(" \n"))
+# Letters in lower case, whatever ends a piece as a line break, tabs as blanks.
+_TABLE = np.arange(256, dtype=np.uint8)
+_TABLE[65:91] += 32
+_TABLE[[ord(c) for c in _BREAKS]] = 10
+_TABLE[9] = 32
+
+
+def _canonical(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words joined by one blank within a piece, pieces and the ends of a text by line breaks.
+
+    All characters concerned are single bytes, which no other character's bytes contain.
+    """
+    for batch in batches:
+        data, offsets = buffers(batch.column(1))
+        data = _TABLE[data]
+        gap = (data == 32) | (data == 10)
+        first = gap.copy()
+        first[1:] &= ~gap[:-1]
+        edges = offsets[:-1][offsets[:-1] < len(data)]
+        first[edges] = gap[edges]  # a gap never reaches into the next text
+        heads = np.flatnonzero(first)
+        if len(heads):
+            broken = np.logical_or.reduceat((data == 10) & gap, heads)
+            ends = np.zeros(len(data) + 1, dtype=bool)
+            ends[offsets] = True
+            after = np.append(heads[1:], len(data))
+            width = np.minimum(np.add.reduceat(gap.astype(np.int64), heads), after - heads)
+            broken |= ends[heads] | ends[heads + width]
+            data[heads] = np.where(broken, 10, 32)
+        kept = ~gap | first
+        place = np.zeros(len(data) + 1, dtype=np.int64)
+        np.cumsum(kept, out=place[1:])
+        texts = pa.LargeStringArray.from_buffers(batch.num_rows, pa.py_buffer(place[offsets].tobytes()), pa.py_buffer(data[kept].tobytes()))
+        yield pa.record_batch([batch.column(0), texts.cast(pa.string())], names=["lang", "text"])
 
 
 def _language_codes(languages: pa.Array) -> np.ndarray:
@@ -106,75 +141,86 @@ def _joined(part: Slice) -> np.ndarray:
     return same
 
 
-def _rows(languages: pa.Array, phrases: pa.Array, size: int, counts: np.ndarray) -> pa.RecordBatch:
-    sizes = pa.array(np.full(len(counts), size, dtype=np.int32))
-    return pa.record_batch([languages.cast(pa.string()), phrases.cast(pa.string()), sizes, pa.array(counts, pa.int64())], names=["lang", "phrase", "n_words", "n"])
+def _windows(part: Slice, own: np.ndarray, known: _Filter, earlier: _Filter | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``size, keys, places`` of the phrases of a slice whose shorter phrases are all known.
 
+    Words count as active. With ``earlier``, phrases whose shorter phrases it knows are left out.
+    A key is the hash of a phrase and its language, with the number of words in its last two bits.
+    Longer phrases are hashed only where they can be active.
+    """
+    keys = mix(part.hashes ^ own) & _NO_SIZE
+    yield 1, keys, np.arange(len(keys))
+    reached = known.knows(keys)
+    before = earlier.knows(keys) if earlier else None
+    joined = _joined(part)[:-1]
+    for size in range(2, LONGEST + 1):
+        both = reached[:-1] & reached[1:]
+        at = np.flatnonzero(both & joined if size == 2 else both)
+        if not len(at):
+            return
+        longer = (mix(keys[at] * _STEP + part.hashes[at + size - 1]) & _NO_SIZE) | np.uint64(size - 1)
+        old = before[at] & before[at + 1] if earlier else np.zeros(len(at), dtype=bool)
+        yield size, longer[~old], at[~old]
+        if size < LONGEST:
+            reached = np.zeros(len(keys), dtype=bool)
+            reached[at] = known.knows(longer)
+            keys = keys.copy()
+            keys[at] = longer
+            if earlier:  # known then, like known now, means that its parts were too
+                before = np.zeros(len(keys), dtype=bool)
+                before[at] = old & earlier.knows(longer)
 
-def _counting(words_too: bool, now, before):
-    """Occurrences of the active phrases in one shard, added up per slice.
 
-    The empty phrase stands for the number of words. Equal phrases of a slice (4 MB of text)
-    are found by 64-bit hashes; across slices Spark groups by the phrase itself.
-    """
+def _counting(words_too: bool, now, before):
+    """Occurrences of the active phrases in one shard, added up per slice (4 MB of text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, earlier = now.value, before.value if before else None
         for batch in batches:
             codes = _language_codes(batch.column(0))
             for part in slices(batch.column(1)):
-                owner = np.repeat(np.arange(len(part)), np.diff(part.bounds)) + part.first
-                if not len(owner):
+                own = np.repeat(codes[part.first : part.first + len(part)], np.diff(part.bounds))
+                if not len(own):
                     continue
-                own, joined = codes[owner], _joined(part)
-                if words_too:
-                    rows, total = np.unique(owner, return_counts=True)
-                    yield _rows(batch.column(0).take(pa.array(rows)), pa.array([""] * len(rows)), 0, total)
-                inside = np.ones(len(owner), dtype=bool)
-                shorter_known = shorter_earlier = None
-                for size in range(1, LONGEST + 1):
-                    keys = mix(window_hashes(part.hashes, size) ^ own[: len(own) - size + 1])
-                    if size > 1:
-                        inside = inside[:-1] & joined[size - 2 : len(joined) - 1]
-                    active = inside
-                    if size > 1:
-                        active = active & shorter_known[:-1] & shorter_known[1:]
-                        if shorter_earlier is not None:
-                            active = active & ~(shorter_earlier[:-1] & shorter_earlier[1:])
-                    if size < LONGEST:
-                        shorter_known = known.knows(keys)
-                        shorter_earlier = earlier.knows(keys) if earlier else None
-                    at = np.flatnonzero(active)
-                    if len(at) and (size > 1 or words_too):
-                        _, first, counts = np.unique(keys[at], return_index=True, return_counts=True)
-                        first = at[first]
-                        yield _rows(batch.column(0).take(pa.array(owner[first])), _cut(part, first, size), size, counts)
-                    if len(own) <= size or (size > 1 and not shorter_known.any()):
-                        break
+                for size, keys, _ in _windows(part, own, known, earlier):
+                    if len(keys) and (size > 1 or words_too):
+                        keys, counts = np.unique(keys, return_counts=True)
+                        yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())], names=["key", "n"])
 
     return run
 
 
-def _marking(bits: int):
-    """The filter's bits for phrases, as places."""
+def _spelling(final):
+    """Occurrences of the phrases with a frequent hash, by their words; the empty phrase counts all words.
+
+    Equal phrases of a slice are found by their hashes; across slices Spark groups by the words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: _Filter = final.value
         for batch in batches:
-            codes = _language_codes(batch.column(0))
+            languages, codes = batch.column(0), _language_codes(batch.column(0))
             for part in slices(batch.column(1)):
-                sizes = np.diff(part.bounds)
-                keys = np.zeros(len(part), dtype=np.uint64)
-                for size in range(1, LONGEST):
-                    mine = np.flatnonzero(sizes == size)
-                    if len(mine):
-                        keys[mine] = window_hashes(part.hashes, size)[part.bounds[mine]]
-                places = mix(keys ^ codes[part.first : part.first + len(part)]) & np.uint64(bits - 1)
-                places = np.unique(places).astype(np.int64)
-                yield pa.record_batch([pa.array((places // _BLOCK).astype(np.int32)), pa.array((places % _BLOCK).astype(np.int32))], names=["block", "place"])
+                owner = np.repeat(np.arange(len(part)), np.diff(part.bounds)) + part.first
+                if not len(owner):
+                    continue
+                rows, total = np.unique(owner, return_counts=True)
+                yield _rows(languages.take(pa.array(rows)), pa.array([""] * len(rows)), 0, total)
+                for size, keys, at in _windows(part, codes[owner], known, None):
+                    frequent = known.knows(keys)
+                    _, first, counts = np.unique(keys[frequent], return_index=True, return_counts=True)
+                    if len(first):
+                        first = at[frequent][first]
+                        yield _rows(languages.take(pa.array(owner[first])), _cut(part, first, size), size, counts)
 
     return run
 
 
+def _rows(languages: pa.Array, phrases: pa.Array, size: int, counts: np.ndarray) -> pa.RecordBatch:
+    sizes = pa.array(np.full(len(counts), size, dtype=np.int32))
+    return pa.record_batch([languages.cast(pa.string()), phrases.cast(pa.string()), sizes, pa.array(counts, pa.int64())], names=["lang", "phrase", "n_words", "n"])
+
+
 def _packing(rows: pa.Table) -> pa.Table:
     marks = np.zeros(_BLOCK, dtype=np.uint8)
     marks[rows.column("place").to_numpy()] = 1
@@ -182,9 +228,10 @@ def _packing(rows: pa.Table) -> pa.Table:
     return pa.table({"block": rows.column("block").slice(0, 1), "content": pa.array([content], pa.binary())})
 
 
-def _extended(known: _Filter, phrases: DataFrame) -> _Filter:
-    """``known`` with the bits of ``phrases``; what reaches the driver is at most the filter."""
-    places = phrases.select("lang", "phrase").mapInArrow(_marking(known.bits), "block int, place int").distinct()
+def _extended(known: _Filter, keys: DataFrame) -> _Filter:
+    """``known`` with the bits of ``keys``; what reaches the driver is at most the filter."""
+    at = F.col("key").bitwiseAND(F.lit(known.bits - 1))
+    places = keys.select(F.floor(at / _BLOCK).cast("int").alias("block"), (at % _BLOCK).cast("int").alias("place")).distinct()
     blocks = places.groupBy("block").applyInArrow(_packing, "block int, content binary")
     return known.with_blocks([(row.block, row.content) for row in blocks.toLocalIterator()])
 
@@ -192,47 +239,48 @@ def _extended(known: _Filter, phrases: DataFrame) -> _Filter:
 def frequent_phrases(docs: DataFrame, options: PhraseOptions, keep: Staging) -> DataFrame:
     """``lang, phrase, n_words, total`` of all phrases of up to 4 words with ``options.least`` occurrences.
 
-    The empty phrase holds the number of words of a language. ``docs`` has ``lang, text`` as
-    :func:`collocations` prepares them. One step scans one shard, adds its counts to the phrases
-    still open and keeps those that are frequent or not yet complete.
+    The empty phrase holds the number of words of a language. ``docs`` has ``lang, text``, none
+    null. One step scans one shard, adds its counts to the phrases still open and keeps those
+    that are frequent or not yet complete.
     """
-    spark = docs.sparkSession
-    shards = options.shards
-    dealt = docs.withColumn("shard", (F.monotonically_increasing_id() % shards).cast("int"))
+    spark, shards, least = docs.sparkSession, options.shards, options.least
+    clean = docs.mapInArrow(_canonical, "lang string, text string")
     path = f"{keep.path}/shards"
-    dealt.write.partitionBy("shard").parquet(path)
+    clean.withColumn("shard", (F.monotonically_increasing_id() % shards).cast("int")).write.partitionBy("shard").parquet(path)
     shard = spark.read.schema("lang string, text string, shard int").parquet(path)
     size = shard.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max(LEAST_BITS, 1 << (size // 32).bit_length()), MOST_BITS)
 
-    filters = [_Filter(bits)]
-    state, folder, step, changed = None, None, 0, [True] * shards
+    n_words = F.col("key").bitwiseAND(F.lit(3)) + 1
+    filters, changed, state, folder, step = [_Filter(bits)], [True] * shards, None, None, 0
     while any(changed[-shards:]):
         now = spark.sparkContext.broadcast(filters[-1])
         before = spark.sparkContext.broadcast(filters[0]) if step >= shards else None
-        scan = spread(shard.where(F.col("shard") == step % shards).select("lang", "text"))
-        found = scan.mapInArrow(_counting(step < shards, now, before), _COUNTS)
-        found = found.withColumns({"fresh": F.col("n"), "since": F.lit(step)})
+        scan = shard.where(F.col("shard") == step % shards).select("lang", "text")
+        scan = spread(scan) if size else scan
+        found = scan.mapInArrow(_counting(step < shards, now, before), "key long, n long").withColumn("since", F.lit(step))
         if state is not None:
-            open_ = state.where((F.col("total") >= options.least) | (F.col("n_words") == 0) | (F.col("since") > step - shards))
-            open_ = open_.select("lang", "phrase", "n_words", F.col("total").alias("n"), F.lit(0).cast("long").alias("fresh"), "since")
-            found = found.unionByName(open_)
-        sums = found.groupBy("lang", "phrase", "n_words").agg(
-            F.sum("n").alias("total"), F.sum("fresh").alias("fresh"), F.min("since").alias("since")
-        )
+            still = state.where((F.col("total") >= least) | (F.col("since") > step - shards))
+            found = found.union(still.select("key", F.col("total").alias("n"), "since"))
+        sums = found.groupBy("key").agg(F.sum("n").alias("total"), F.min("since").alias("since"))
         old, folder = folder, Staging(spark)
         state = folder(sums, f"step{step}")
         if old:
             old.remove()
-        reached = state.where(F.col("n_words").between(1, LONGEST - 1) & (F.col("total") >= options.least) & (F.col("total") - F.col("fresh") < options.least))
-        known = _extended(filters[-1], reached)
+        known = _extended(filters[-1], state.where((F.col("total") >= least) & (n_words < LONGEST)))
         changed.append(not np.array_equal(known.packed, filters[-1].packed))
         filters = [*filters, known][-shards - 1 :]
         now.unpersist()
         if before:
             before.unpersist()
         step += 1
-    out = keep(state.where((F.col("total") >= options.least) | (F.col("n_words") == 0)).select("lang", "phrase", "n_words", "total"), "frequent")
+    final = spark.sparkContext.broadcast(_extended(filters[-1], state.where((F.col("total") >= least) & (n_words == LONGEST))))
+    tasks = max(spark.sparkContext.defaultParallelism, 1, size // _SPELLED)  # larger tasks add up more before the shuffle
+    texts = spread(shard.select("lang", "text")) if size else shard.select("lang", "text")
+    counted = texts.coalesce(tasks).mapInArrow(_spelling(final), _COUNTS)
+    totals = counted.groupBy("lang", "phrase", "n_words").agg(F.sum("n").alias("total"))
+    out = keep(totals.where((F.col("total") >= least) | (F.col("n_words") == 0)), "frequent")
+    final.unpersist()
     folder.remove()
     return out
 
@@ -284,7 +332,7 @@ def collocations(
     """
     options = options or PhraseOptions()
     named = docs.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text"))
-    prepared = named.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), _pieces(F.col("text")).alias("text"))
+    prepared = named.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     keep = Staging(docs.sparkSession)
     state = frequent_phrases(prepared.where("text <> ''"), options, keep)
     scored = keep(_scored(state, options), "scored")
