@@ -43,7 +43,7 @@ def config(name="Costa", pages=None, **scraper):
         "title_selector": "main h2",
         "metadata_selectors": {"edition": {"selector": "main", "attr": "data-ed"}},
     }
-    parts = dict.fromkeys(("url_normalizer", "date_normalizer", "text_cleaner", "writer"), {"factory": "x:y"})
+    parts = {name: {"factory": "x:y"} for name in ("url_normalizer", "date_normalizer", "text_cleaner", "writer")}
     parts["scraper"] = {
         "factory": "x:y",
         "options": {"listing": listing, "article": article, "pagination": numbered(4, 7), **scraper},
