@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.tables import broadcast_within
+from newsloom.llm.tables import broadcast_within, sampled
 from newsloom.llm.words import SLICE_BYTES, buffers
 from newsloom.session import Staging
 
@@ -96,7 +96,7 @@ def fit(labelled: DataFrame, options: LanguageOptions) -> TextModel:
                     yield pa.record_batch([pa.array([name]), pa.array([counts.tolist()], pa.list_(pa.int64()))], names=["lang", "counts"])
 
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", "lang")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(options.sample).select("text", "lang")
+    rows = sampled(rows, options.sample).select("text", "lang")
     totals: dict[str, np.ndarray] = {}
     for name, counts in rows.mapInArrow(run, "lang string, counts array<long>").toLocalIterator():
         totals[name] = totals.get(name, 0) + np.array(counts)
@@ -146,8 +146,8 @@ def _smoothed(mass: Column, parent: Column, strength: float) -> Column:
     return F.zip_with(mass, parent, lambda m, p: (m + strength * p) / (total + strength))
 
 
-def identified(evidence: DataFrame, model: TextModel, options: LanguageOptions | None = None) -> DataFrame:
-    """``doc_id, language, probability, text_language, n_grams`` per row of ``evidence``.
+def identified(evidence: DataFrame, model: TextModel, options: LanguageOptions | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, language, probability, text_language, n_grams`` and the ``carry`` columns per row of ``evidence``.
 
     ``evidence`` has ``doc_id, text, declared, suffix, host``, any of them null. A null or
     unknown declaration is no evidence, a null suffix or host has the prior of the level above.
@@ -159,8 +159,9 @@ def identified(evidence: DataFrame, model: TextModel, options: LanguageOptions |
     options = options or LanguageOptions()
     width, spark = len(model.languages), evidence.sparkSession
     keep = Staging(spark)
-    base = evidence.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.regexp_extract(F.col("declared"), "^[A-Za-z]+", 0)).alias("declared"), F.lower("suffix").alias("suffix"), F.lower("host").alias("host"))
-    schema = "doc_id long, declared string, suffix string, host string, n_grams long, likelihood array<double>"
+    base = evidence.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.regexp_extract(F.col("declared"), "^[A-Za-z]+", 0)).alias("declared"), F.lower("suffix").alias("suffix"), F.lower("host").alias("host"), *carry)
+    passed = "".join(f", `{c}` {evidence.schema[c].dataType.simpleString()}" for c in carry)
+    schema = f"doc_id long, declared string, suffix string, host string{passed}, n_grams long, likelihood array<double>"
     rows = keep(base.mapInArrow(likelihoods(model, options), schema), "likelihood")
     names = F.array(*map(F.lit, model.languages))
     rows = rows.withColumn("posterior", _softmax(F.col("likelihood")))
@@ -199,6 +200,7 @@ def identified(evidence: DataFrame, model: TextModel, options: LanguageOptions |
         "probability",
         F.when(F.col("n_grams") > 0, text_best).otherwise(UNKNOWN).alias("text_language"),
         "n_grams",
+        *carry,
     )
 
 

@@ -23,3 +23,17 @@ def texts_by_id(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 def fraction_key(*columns: Column) -> Column:
     """A fixed pseudo-random order of rows, the same in every run."""
     return F.xxhash64(*columns)
+
+
+def sampled(rows: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` rows with different ``doc_id``, taken in the order of a hash of the id.
+
+    Ids are chosen first, on that column alone; other columns move for the chosen ids only. Of
+    rows that share an id, the one with the smallest hash of its other columns is taken.
+    """
+    ids = rows.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    few = ids.orderBy(fraction_key(F.col("doc_id")), "doc_id").limit(size)
+    rest = [c for c in rows.columns if c != "doc_id"]
+    row = F.struct(fraction_key(*map(F.col, rest)).alias("key"), *rest)
+    found = rows.join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min(row).alias("row"))  # bounded by size
+    return found.select("doc_id", *[F.col(f"row.{c}").alias(c) for c in rest])
