@@ -7,6 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 
 BINS = 32
+NEVER = 1.1  # a threshold that no probability reaches
 
 
 @dataclass
@@ -61,45 +62,61 @@ def _grow(codes: np.ndarray, edges: list[np.ndarray], g: np.ndarray, h: np.ndarr
 
 
 def train(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: float = 0.3) -> Trees:
-    """Fit on every second row in turn and calibrate (Platt) on the others."""
-    fit = np.arange(len(x)) % 3 != 2
-    edges = [np.unique(np.quantile(x[fit, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
-    codes = np.stack([np.searchsorted(e, x[fit, f]) for f, e in enumerate(edges)], axis=1)
-    target = y[fit].astype(float)
+    """Fit all given rows by the gradient of the logistic loss; not calibrated yet."""
+    edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
+    codes = np.stack([np.searchsorted(e, x[:, f]) for f, e in enumerate(edges)], axis=1)
+    target = y.astype(float)
     share = np.clip(target.mean(), 1e-3, 1 - 1e-3)
     model = Trees(*(np.zeros((0, 0)) for _ in range(3)), start=float(np.log(share / (1 - share))))
     margin, features, cuts, leaves = np.full(len(target), model.start), [], [], []
     for _ in range(trees):
-        p = 1 / (1 + np.exp(-margin))
+        p = _logistic(margin)
         feature, cut, leaf, at = _grow(codes, edges, target - p, p * (1 - p), depth, rate)
         margin += leaf[at]
         features.append(feature), cuts.append(cut), leaves.append(leaf)
     model.features, model.cuts, model.leaves = np.array(features), np.array(cuts), np.array(leaves)
-    _calibrate(model, x[~fit], y[~fit].astype(float))
     return model
 
 
-def _calibrate(model: Trees, x: np.ndarray, y: np.ndarray) -> None:
+def _logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def calibrate(model: Trees, x: np.ndarray, y: np.ndarray) -> None:
+    """Fit slope and shift of the margins (Platt) to rows that the trees have not seen.
+
+    Newton steps are halved until they lower the loss. Without rows of both classes the margins
+    stay as they are.
+    """
     if len(y) < 20 or y.min() == y.max():
         return
     m = np.clip(model.margin(x), -12, 12)
+    target = y * (1 - 2 / (len(y) + 2)) + 1 / (len(y) + 2)  # smoothed targets keep the slope finite
+
+    def loss(w: np.ndarray) -> float:
+        z = w[0] * m + w[1]
+        return float((np.logaddexp(0, z) - target * z).sum() + 5e-4 * (w @ w))
+
     w = np.array([1.0, 0.0])
-    y = y * (1 - 2 / (len(y) + 2)) + 1 / (len(y) + 2)  # smoothed targets keep the slope finite
     for _ in range(25):
-        p = 1 / (1 + np.exp(-(w[0] * m + w[1])))
-        gradient = np.array([((y - p) * m).sum(), (y - p).sum()]) - 1e-3 * w
+        p = _logistic(w[0] * m + w[1])
+        gradient = np.array([((target - p) * m).sum(), (target - p).sum()]) - 1e-3 * w
         s = p * (1 - p)
         hessian = np.array([[(s * m * m).sum(), (s * m).sum()], [(s * m).sum(), s.sum()]]) + 1e-3 * np.eye(2)
-        w += np.linalg.solve(hessian, gradient)
-    if np.isfinite(w).all() and w[0] > 0:
+        step, now = np.linalg.solve(hessian, gradient), loss(w)
+        while np.abs(step).max() > 1e-9 and loss(w + step) > now:
+            step = step / 2
+        if np.abs(step).max() <= 1e-9:
+            break
+        w = w + step
+    if w[0] > 0:
         model.slope, model.shift = float(w[0]), float(w[1])
 
 
 def threshold(model: Trees, x: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """Smallest probability at and above which held-out rows reach ``precision``."""
-    held = np.arange(len(x)) % 3 == 2
-    p, y = model.probability(x[held]), y[held].astype(float)
+    """Smallest probability from which the given rows, unseen before, reach ``precision``."""
+    p = model.probability(x)
     order = np.argsort(-p, kind="stable")
-    good = np.cumsum(y[order]) / np.arange(1, len(order) + 1) >= precision
+    good = np.cumsum(y[order].astype(float)) / np.arange(1, len(order) + 1) >= precision
     last = np.flatnonzero(good)
-    return max(0.5, float(p[order][last[-1]])) if len(last) else 1.1
+    return max(0.5, float(p[order][last[-1]])) if len(last) else NEVER

@@ -12,6 +12,7 @@ damaged forms negative.
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 from collections.abc import Iterator
@@ -22,12 +23,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.boosting import Trees, threshold, train
+from newsloom.llm.boosting import NEVER, Trees, calibrate, threshold, train
+from newsloom.llm.tables import sampled
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCUMENTS = 1500
 SAMPLE_SPANS = 30_000
 PRECISION = 0.99
+LEAST_HELD = 20  # held-out proposals of a kind, without which the kind gets no threshold
 
 # A run of address characters is read once, whether or not a domain follows, so that long texts
 # cost linear time; the other rules never start inside a run of digits for the same reason.
@@ -213,7 +216,7 @@ def fit(texts: DataFrame) -> SpanModel | None:
             rows = [(x, y) for doc_id, text in zip(frame["doc_id"], frame["text"]) for x, y in _examples(text, int(doc_id or 0))]
             yield pd.DataFrame(rows, columns=["x", "y"])
 
-    chosen = texts.where(F.col("doc_id").isNotNull() & F.col("text").rlike(_TRIGGER)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
+    chosen = sampled(texts.where(F.col("text").rlike(_TRIGGER)), SAMPLE_DOCUMENTS)
     rows = chosen.mapInPandas(run, "x array<double>, y int").limit(SAMPLE_SPANS).toPandas()
     if rows["y"].nunique() < 2:
         return None
@@ -222,9 +225,12 @@ def fit(texts: DataFrame) -> SpanModel | None:
     order = np.lexsort((y, *x.T))
     order = order[np.random.default_rng(7).permutation(len(order))]
     x, y = x[order], y[order]
-    trees = train(x, y)
-    limits = tuple(threshold(trees, x[x[:, k] == 1], y[x[:, k] == 1], PRECISION) if (x[:, k] == 1).sum() > 30 else 1.1 for k in range(4))
-    return SpanModel(trees, limits)
+    part = np.arange(len(x)) % 4  # two parts fit the trees, one calibrates them, one sets the thresholds
+    trees = train(x[part < 2], y[part < 2])
+    calibrate(trees, x[part == 2], y[part == 2])
+    held, target = x[part == 3], y[part == 3]
+    mine = [held[:, k] == 1 for k in range(4)]
+    return SpanModel(trees, tuple(threshold(trees, held[m], target[m], PRECISION) if m.sum() > LEAST_HELD else NEVER for m in mine))
 
 
 # scoring ---------------------------------------------------------------------------------
@@ -240,11 +246,12 @@ def find(text: str, model: SpanModel | None) -> tuple[list[tuple[int, int, int]]
     if not open_spans:
         return base, base
     p = model.trees.probability(np.array([features(text, s) for s in open_spans]))
-    added: list[tuple[int, int, int]] = []
+    added: list[tuple[int, int, int]] = []  # disjoint and sorted, so only neighbours can overlap
     good = [(float(q), s) for q, s in zip(p, open_spans) if q >= model.thresholds[s[2]]]
     for _, span in sorted(good, key=lambda g: (-g[0], -(g[1][1] - g[1][0]), g[1])):
-        if not any(a < span[1] and span[0] < b for a, b, _ in added):
-            added.append(span)
+        at = bisect.bisect_left(added, span)
+        if (at == 0 or added[at - 1][1] <= span[0]) and (at == len(added) or span[1] <= added[at][0]):
+            added.insert(at, span)
     return base, sorted(base + added, key=lambda s: (s[0], s[2]))
 
 
