@@ -9,11 +9,11 @@ difference score.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,56 +73,57 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return texts_by_id(docs, id_column, text_column).mapInPandas(run, "doc_id long, fingerprint string")
 
 
-@dataclass(frozen=True)
-class NextOptions:
-    """Rows a range of ids holds on average: what one task reads in order."""
-
-    rows: int = 4000
-
-
-def with_next(docs: DataFrame, run, schema: str, options: NextOptions, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def with_next(docs: DataFrame, run: Callable, schema: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Map over documents in ascending id, each together with its successor's text.
 
-    ``run`` gets ``(doc_id, text, next text)`` triples. Ids are cut into ranges; the first row of
-    every range is also sent to the range before it (the very first one to the last), so that
-    no text moves more than once and no task holds more than one range.
+    ``run`` gets ``(doc_id, text, next text)`` triples and gives frames of ``schema``. Spark deals
+    the rows into ranges of ids, and every text moves once. A range's task reads its rows in
+    order; its first and its last text are written beside its results, and the last text of a
+    range meets the first one of the next range (of the first range, at the end) by a join on
+    the ranges' numbers.
     """
     texts = texts_by_id(docs, id_column, text_column).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     keep = Staging(texts.sparkSession)
-    rows = texts.count()
-    parts = max(1, -(-rows // options.rows))
-    cuts = texts.where("doc_id IS NOT NULL").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    edges = sorted({int(c) for c in cuts})
-    ranged = texts.withColumn("part", _range_of(F.col("doc_id"), edges))
-    heads = ranged.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text")).alias("head"))
-    order = Window.orderBy("part")  # one row a range
-    heads = heads.select(F.coalesce(F.lag("part").over(order), F.lit(None)).alias("part"), "head", F.max("part").over(Window.partitionBy()).alias("last"))
-    heads = keep(heads.select(F.coalesce("part", "last").alias("part"), F.lit(1).alias("extra"), "head.doc_id", "head.text"), "heads")
-    dealt = ranged.select("part", F.lit(0).alias("extra"), "doc_id", "text").union(heads)
-    width = max(1, len(edges) + 1)
-    dealt = dealt.repartition(width, "part").sortWithinPartitions("part", "extra", "doc_id", "text")
-
-    def pairs(frames: Iterator[pd.DataFrame]):
-        held = None
+    order = ["doc_id", "tie", "row"]
+    keyed = texts.withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+
+    def within(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ends: list[tuple] = []
+
+        def triples():
+            held = None
+            for frame in frames:
+                for doc_id, text in zip(frame["doc_id"], frame["text"]):
+                    if held is None:
+                        ends.append((None, text))
+                    else:
+                        yield *held, text
+                    held = None if pd.isna(doc_id) else int(doc_id), text
+            if held is not None:
+                ends.append(held)
+
+        for found in run(triples()):
+            yield found.assign(part=pd.array([None] * len(found), dtype="Int32"), head=None, tail=None)
+        if ends:
+            part, (_, head), (doc_id, tail) = TaskContext.get().partitionId(), *ends
+            names = [x.split()[0] for x in schema.split(", ")]
+            edge = pd.DataFrame({name: [None] for name in names} | {"part": [part], "head": [head], "tail": [tail]})
+            yield edge.assign(doc_id=pd.array([doc_id], dtype="Int64"))
+
+    mapped = keep(ordered.mapInPandas(within, f"{schema}, part int, head string, tail string"), "ranges")
+    inner = mapped.where("part IS NULL").drop("part", "head", "tail")
+    edges = mapped.where("part IS NOT NULL").select("part", "doc_id", "head", "tail")
+    number = Window.orderBy("part")  # one narrow row a range
+    links = edges.select("part", F.coalesce(F.lead("part").over(number), F.first("part").over(number)).alias("following"))
+    heads = edges.select(F.col("part").alias("following"), F.col("head").alias("next_text"))
+    met = edges.select("part", "doc_id", F.col("tail").alias("text")).join(links, "part").join(heads, "following")
+
+    def between(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for part, extra, doc_id, text in zip(frame["part"], frame["extra"], frame["doc_id"], frame["text"]):
-                if held is not None:
-                    yield held[1], held[2], text
-                held = None if extra else (part, None if pd.isna(doc_id) else int(doc_id), text)
-
-    return dealt.mapInPandas(lambda frames: run(pairs(frames)), schema)
-
-
-def _range_of(doc_id, edges: list[int]):
-    """Number of edges at or below an id, found by bisection; rows without an id come first."""
-
-    def search(low: int, high: int):
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(doc_id >= edges[middle], search(middle + 1, high)).otherwise(search(low, middle))
+            yield from run((None if pd.isna(i) else int(i), t, n) for i, t, n in zip(frame["doc_id"], frame["text"], frame["next_text"]))
 
-    return search(0, len(edges)).cast("int")
+    return inner.unionByName(met.select("doc_id", "text", "next_text").mapInPandas(between, schema))
 
 
 def edited(text: str, following: str) -> str:
@@ -131,14 +132,14 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def compared(docs: DataFrame, options: NextOptions | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def compared(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Fingerprints of all texts and their edited forms, and how alike they are.
 
     Columns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next``. The edited text has its last ``floor(n / 2)`` code points replaced by the first
     ones of the next document by ascending id, the first one after the last. Null texts are
-    empty. Rows without an id come first, rows that repeat an id are ordered by text. A single
-    row follows itself; an empty table gives no rows. Other columns are not read.
+    empty. Rows without an id come first, rows that repeat an id are ordered by a hash of their
+    text. A single row follows itself; an empty table gives no rows. Other columns are not read.
     """
 
     def run(triples) -> Iterator[pd.DataFrame]:
@@ -157,7 +158,7 @@ def compared(docs: DataFrame, options: NextOptions | None = None, id_column: str
         yield _frame(rows)
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return with_next(docs, run, schema, options or NextOptions(), id_column, text_column)
+    return with_next(docs, run, schema, id_column, text_column)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
