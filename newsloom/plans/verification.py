@@ -291,16 +291,20 @@ def selector_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SQL_ENTITIES = "replace(replace({}, '&copy;', '©'), '&middot;', '·')"
+
+
 @query(rf"""
-WITH body AS (
-  SELECT page_id, regexp_replace(replace({_SQL_UNESCAPE.format("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")}, '&', '&amp;'),
-    '(?s)<!--.*?-->|</?(?:h1|b|div|span)(?: [^>]*)?>', '', 'g') AS part FROM pages)
-SELECT page_id, trim(part || repeat('</p>', len(regexp_extract_all(part, '<p>')) - len(regexp_extract_all(part, '</p>'))))
-  AS safe_html FROM body
+WITH plain AS (
+  SELECT page_id, regexp_replace(html, '(?s)<!--.*?-->|<!DOCTYPE[^>]*>|<style>.*?</style>|<script>.*?</script>', '', 'g') AS part FROM pages),
+closed AS (
+  SELECT page_id, replace(part, '</article>', repeat('</p>', len(regexp_extract_all(part, '<p>')) - len(regexp_extract_all(part, '</p>'))) || '</article>') AS part FROM plain)
+SELECT page_id, {_sql_strip("regexp_replace(replace(" + _SQL_UNESCAPE.format(_SQL_ENTITIES.format("part")) + ", '&', '&amp;'), "
+  "'</?(?:html|head|meta|title|body|nav|div|article|h1|b|footer)(?: [^>]*)?>', '', 'g')")} AS safe_html FROM closed
 """)
 def sanitize_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    article = F.regexp_extract("html", "(?s)<article>(.*)</article>", 1)
-    return spread(table(spark, sf_dir, "pages")).select("page_id", sanitize_html(article).alias("safe_html"))
+    """Whole pages: head, navigation, scripts, comments and footer included."""
+    return spread(table(spark, sf_dir, "pages")).select("page_id", sanitize_html(F.col("html")).alias("safe_html"))
 
 
 @query(rf"""
