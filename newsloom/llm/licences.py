@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,28 +93,74 @@ Permission is granted to anyone to use this software for any purpose, including
     ),
 )
 
+# More public licence texts.
+KNOWN += (
+    (
+        "0BSD",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    ),
+    (
+        "Unlicense",
+        """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>""",
+    ),
+    (
+        "BSL-1.0",
+        """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+)
+
 # Title lines that files put above these texts, and licences whose text has its title as first paragraph.
 TITLES = {
     "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
     "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "0BSD"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
     "Zlib": ("zlib License", "The zlib License"),
     "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License"),
     "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License"),
 }
-OWN_TITLE = ("Apache", "GPL", "LGPL", "MPL", "GFDL", "CC0")
+OWN_TITLE = ("BSL", "Apache", "GPL", "LGPL", "MPL", "GFDL", "CC0")
 
 NO_WORDS = hashlib.sha256(b"").hexdigest()
-_COPYRIGHT = r"(?m)^[\s/*#;-]*(copyright|\(c\)|©)[^\n]*$"
+# A copyright statement: the word with a sign, a year or a placeholder, or a sign with a year. Other
+# lines that begin with the word are part of a sentence that was wrapped there.
+_SIGN, _WHEN = r"(\(c\)|©|&copy;)", r"([<\[{(]?(year|yyyy|[0-9]{4}))"
+_COPYRIGHT = (
+    rf"(?m)^[\s/*#;-]*(copyright\s*(:?\s*{_SIGN}|:?\s*{_WHEN}|\s+by\s)|{_SIGN}\s*(copyright\s*)?{_WHEN}|all rights reserved\.?\s*$)[^\n]*$"
+)
 _GAP = r"[^\p{L}\p{N}]+"
+_ANY_EQUIVALENT = " (?:" + "|".join(other for other, _ in EQUIVALENT) + ") "
 
 
 def canonical(text: Column) -> Column:
     """Lower case without copyright lines, words separated by two blanks, one spelling each."""
     form = F.regexp_replace(F.regexp_replace(F.lower(text), _COPYRIGHT, " "), _GAP, "  ")
     form = F.concat(F.lit("  "), F.trim(form), F.lit("  "))
-    for other, word in EQUIVALENT:
-        form = F.replace(form, F.lit(f" {other} "), F.lit(f" {word.replace(' ', '  ')} "))
-    return F.trim(form)
+
+    def spelled(text: Column) -> Column:
+        one = text
+        for other, word in EQUIVALENT:
+            one = F.replace(one, F.lit(f" {other} "), F.lit(f" {word.replace(' ', '  ')} "))
+        return F.trim(F.when(text.rlike(_ANY_EQUIVALENT), one).otherwise(text))  # most lines have none
+
+    # the one-element array gives the form a name, so that it is made once
+    return F.element_at(F.transform(F.array(form), spelled), 1)
 
 
 def digest(text: Column) -> Column:
@@ -171,6 +218,15 @@ def licensed(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_
     )
 
 
+def plain_digest(text: str) -> str:
+    """:func:`digest` of one text without Spark, for the values of the SQL form."""
+    form = re.sub(r"[\W_]+", "  ", re.sub(_COPYRIGHT, " ", text.lower()))
+    form = f"  {form.strip()}  "
+    for other, word in EQUIVALENT:
+        form = form.replace(f" {other} ", f" {word.replace(' ', '  ')} ")
+    return hashlib.sha256(form.strip().encode()).hexdigest()
+
+
 def _sql_canonical(text: str) -> str:
     form = f"regexp_replace(regexp_replace(lower({text}), '{_COPYRIGHT}', ' ', 'g'), '{_GAP}', '  ', 'g')"
     form = f"'  ' || trim({form}) || '  '"
@@ -184,12 +240,11 @@ def _sql_digest(text: str) -> str:
 
 
 def oracle() -> str:
-    """The same over ``documents`` as SQL."""
-    values = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in KNOWN)
+    """The same over ``documents`` as SQL, with the digests of the whole catalogue."""
+    known = sorted({(plain_digest(text), name) for name, text in catalogue()} - {(NO_WORDS, name) for name, _ in catalogue()})
+    values = ", ".join(f"('{value}', '{name}')" for value, name in known)
     return f"""
-WITH known AS (
-  SELECT {_sql_digest("body")} AS digest, min(license_id) AS license_id
-  FROM (VALUES {values}) AS t(license_id, body) GROUP BY 1),
+WITH known AS (SELECT digest, min(license_id) AS license_id FROM (VALUES {values}) AS t(digest, license_id) GROUP BY 1),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
 found AS (
   SELECT doc_id, license_id, count(*) AS n
