@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.components import Keep, components
+from newsloom.operators.components import Keep, components
 from newsloom.llm.tables import broadcast_within, texts_by_id
 from newsloom.llm.words import list_array, mix, shingles, slices
 from newsloom.session import Staging, stage

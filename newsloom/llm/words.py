@@ -16,6 +16,7 @@ import pyarrow as pa
 # Word separators of the contracts: space and the bytes 9 to 13.
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 SLICE_BYTES = 1 << 22
+SLICE_ROWS = 1 << 16  # document numbers of a slice fit 16 bits
 
 _IS_SEPARATOR = np.zeros(256, dtype=bool)
 _IS_SEPARATOR[list(SEPARATORS)] = True
@@ -82,7 +83,7 @@ def slices(texts: pa.Array, lower: bool = False, hashed: bool = True) -> Iterato
     first = 0
     while first < len(offsets) - 1:
         last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1
-        last = min(max(last, first + 1), len(offsets) - 1)
+        last = min(max(last, first + 1), first + SLICE_ROWS, len(offsets) - 1)
         part = data[offsets[first] : offsets[last]]
         yield _slice(first, _LOWER[part] if lower else part, offsets[first : last + 1] - offsets[first], hashed)
         first = last
