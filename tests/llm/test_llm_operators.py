@@ -1,8 +1,10 @@
 """Each operator against a brute-force version on small tables, with the odd cases of a contract."""
 
 import hashlib
+import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -12,7 +14,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.llm import anchors, boosting, decontamination, language, licences, packing, personal, quality, quartiles, setsketch, token_counts
-from newsloom.llm.components import components
+from newsloom.llm.tables import sampled
+from newsloom.operators.components import components
 from newsloom.session import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -147,6 +150,22 @@ def test_repeats_odd_tables(spark):
     assert got == [(0, text), (2, text), (2, text), (5, "")]
 
 
+def test_repeats_with_very_many_documents_in_one_batch(spark):
+    """More documents in a batch than a 16-bit number counts."""
+    n, again = 80_000, 9_000
+    number = F.when(F.col("id") >= n - again, F.col("id") - (n - again)).otherwise(F.col("id"))
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20)), lambda i: F.concat(F.lit("w"), F.hash(number, i).cast("string"))), " ")
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text")).coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
+    try:
+        found = anchors.without_repeats(docs).where("size(repeats) > 0").agg(F.count("*"), F.min("doc_id")).first()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert tuple(found) == (again, n - again)
+
+
+
 # packing ---------------------------------------------------------------------------------
 @pytest.mark.parametrize("window", [4096, 64])
 def test_packing(spark, texts, window):
@@ -364,11 +383,77 @@ def test_trees_learn_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((1500, 4))
     y = ((x[:, 0] > 0.5) ^ (x[:, 2] > 0.3)).astype(int)
-    model = boosting.train(x[:1000], y[:1000])
+    model = boosting.train(x[:800], y[:800])
+    boosting.calibrate(model, x[800:1000], y[800:1000])
     p = model.probability(x[1000:])
     assert ((p > 0.5) == y[1000:]).mean() > 0.95
 
 
+def test_calibration_is_damped_and_thresholds_hold_on_unseen_rows():
+    """Separable rows would drive an undamped fit to infinity; noisy ones get a threshold that keeps."""
+    rng = np.random.default_rng(1)
+    x = rng.random((3000, 3))
+    sure = boosting.train(x[:500], (x[:500, 0] > 0.5).astype(int))
+    with np.errstate(all="raise"):
+        boosting.calibrate(sure, x[500:900], (x[500:900, 0] > 0.5).astype(int))
+    assert np.isfinite([sure.slope, sure.shift]).all() and sure.slope > 0
+    boosting.calibrate(sure, x[:100], np.ones(100))  # one class only: stays as it is
+    y = (rng.random(3000) < np.where(x[:, 1] > 0.6, 0.98, 0.1)).astype(int)
+    noisy = boosting.train(x[:1000], y[:1000])
+    boosting.calibrate(noisy, x[1000:1500], y[1000:1500])
+    limit = boosting.threshold(noisy, x[1500:2000], y[1500:2000], 0.95)
+    taken = noisy.probability(x[2000:]) >= limit
+    assert y[2000:][taken].mean() > 0.92 and taken.mean() > 0.25
+    assert boosting.threshold(noisy, x[:50], np.zeros(50), 0.9) == boosting.NEVER
+
+
+def test_added_spans_on_unseen_forms(spark):
+    """Planted forms that no rule finds and training has not seen: most are added, little else is."""
+    rng = random.Random(16)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card(gap):
+        head = "5" + digits(14)
+        number = next(head + c for c in "0123456789" if personal.luhn(head + c))
+        return gap.join(number[i : i + 4] for i in range(0, 16, 4))
+
+    def base(k):
+        return [card(" "), card(""), f"+1 {rng.randrange(200, 999)} 555 {digits(4)}", f"u{k}.x@mail{k}.example.com", f"10.{k % 250}.3.4"][k % 5]
+
+    train = [f"la {base(k)} end {rng.randrange(1, 99)} of 3.{k} in {rng.randrange(1900, 2030)} no {digits(rng.randrange(5, 14))} x" for k in range(600)]
+    model = personal.fit(frame(spark, train).select("doc_id", "text"))
+    hits = wrong = missed = 0
+    for k in range(300):
+        planted = [f"({rng.randrange(200, 999)}) {digits(3)}-{digits(4)}", f"an.na{k} at host{k} dot org", f"jo[at]site{k}[dot]net"][k % 3]
+        text = f"then call {planted} and order {digits(rng.randrange(4, 7))} of {rng.randrange(1900, 2030)}"
+        wanted = (10, 10 + len(planted))
+        found, spans = personal.find(text, model)
+        added = {s[:2] for s in spans} - {s[:2] for s in found}
+        hits += wanted in added
+        missed += wanted not in added
+        wrong += len(added - {wanted})
+    assert hits / (hits + missed) > 0.5 and hits / max(hits + wrong, 1) > 0.9, (hits, missed, wrong)
+
+
+def test_one_long_directory_takes_little_time():
+    class Sure:
+        def probability(self, x):
+            return np.linspace(0.6, 0.9, len(x))
+
+    text = "\n".join(f"jo.doe{k}[at]mail{k}[dot]org" for k in range(20_000))
+    base, spans = personal.find(text, personal.SpanModel(Sure(), (0.5,) * 4))
+    assert base == [] and len(spans) == 20_000
+
+
+def test_a_bounded_sample_moves_ids_first(spark):
+    rows = spark.range(5000).select((F.col("id") % 700).alias("doc_id"), F.col("id").cast("string").alias("text"), F.lit("xx").alias("lang"))
+    some = sampled(rows, 300)
+    got = some.collect()
+    assert len(got) == len({r.doc_id for r in got}) == 300 and some.columns == ["doc_id", "text", "lang"]
+    assert got and sorted(map(tuple, got)) == sorted(map(tuple, sampled(rows.repartition(7), 300).collect()))
+    assert sampled(rows.limit(0), 10).collect() == [] and sampled(rows, 10**6).count() == 700
+
+
 # quality ---------------------------------------------------------------------------------
 def test_sum_of_squares_identity():
     rng = np.random.default_rng(3)
@@ -397,16 +482,58 @@ def test_quality_on_held_out_rows(spark, sf_dir):
 
 
 # fingerprints ----------------------------------------------------------------------------
+def slow_digest(data):
+    """The fingerprint by plain counting: every triplet of every window of five bytes."""
+    counts = [0] * 256
+    for start in range(len(data)):
+        for k, (second, third) in enumerate([(1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4)]):
+            if start + third < len(data):
+                code = data[start] + 256 * data[start + second] + 65536 * data[start + third]
+                code = (code + (k + 1) * 0x01000193) % 2**32
+                code = (code ^ (code >> 15)) * int(quartiles._FACTORS[k]) % 2**32
+                counts[code >> 24] += 1
+    ranked = sorted(counts)
+    q1, q2, q3 = ranked[63], ranked[127], ranked[191]
+    codes = [sum(c > q for q in (q1, q2, q3)) for c in counts]
+    body = bytes(64 * a + 16 * b + 4 * c + d for a, b, c, d in zip(*[iter(codes)] * 4))
+    length = min(255, round(10 * math.log2(len(data) + 1)))
+    ratios = [min(15, 16 * q // max(q3, 1)) for q in (q1, q2)]
+    check = hashlib.blake2b(data, digest_size=1).digest()[0]
+    return bytes([check, length, 16 * ratios[0] + ratios[1], min(255, q3.bit_length())]).hex() + body.hex()
+
+
+@pytest.mark.parametrize("parts", ["1", "3", "40"])
+def test_successors_over_any_number_of_ranges(spark, parts):
+    """Ranges of many rows, of one row and of none; repeated ids, equal rows and rows without an id."""
+    rng = random.Random(int(parts))
+    rows = [(i, words(rng, 8)) for i in range(25)] + [(None, "x y"), (None, None), (7, "seven"), (7, "seven"), (7, None)]
+    rng.shuffle(rows)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = quartiles.compared(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    by_id = {i: t for i, t in rows if i is not None and i != 7}
+    for r in got:
+        if r.doc_id in by_id and (r.doc_id + 1) % 25 in by_id and r.doc_id != 24:
+            text, after = by_id[r.doc_id], by_id[r.doc_id + 1]
+            half = len(text) // 2
+            assert r.edited_sha256 == hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()
+    same = [r for r in got if r.doc_id == 7 and r.n_chars == 5]
+    assert len(same) == 2 and any(r.near_next == 1 for r in same)
+
+
 def test_fingerprints_of_texts_and_their_successors(spark, texts):
     ids = [3 * i - 7 for i in range(len(texts))]
-    got = rows_of(quartiles.compared(frame(spark, texts), quartiles.NextOptions(rows=9)))
+    got = rows_of(quartiles.compared(frame(spark, texts)))
     for k, i in enumerate(ids):
         text, after = texts[k] or "", texts[(k + 1) % len(texts)] or ""
         half = len(text) // 2
         changed = text[: len(text) - half] + after[:half]
         r = got[i]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
-        assert (r.fingerprint, r.edited_fingerprint) == (quartiles.digest(text.encode()), quartiles.digest(changed.encode()))
+        assert (r.fingerprint, r.edited_fingerprint) == (slow_digest(text.encode()), slow_digest(changed.encode()))
         assert 0 <= r.near_next <= 1 and (text != after or r.near_next == 1)
     assert quartiles.compared(empty(spark)).collect() == []
     one = quartiles.compared(frame(spark, ["abcdefgh"])).collect()
@@ -482,6 +609,83 @@ def test_language_evidence(spark):
     assert language.identified(spark.createDataFrame([], schema), model, options).collect() == []
 
 
+def brute_fusion(rows, model, o):
+    """The fusion row by row: trigrams, confusion table, three smoothed levels without the row itself."""
+    width = len(model.languages)
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    letter = lambda b: b >= 128 or chr(b).isalpha()
+    found = []
+    for _, text, declared, suffix, host in rows:
+        data = (text or "").encode()
+        grams = [data[i : i + 3] for i in range(len(data) - 2) if sum(map(letter, data[i : i + 3])) >= 2]
+        places = [int(language._trigrams(np.frombuffer(g, np.uint8), o.bits)[0]) for g in grams]
+        like = sum((model.logs[p].astype(float) for p in places), np.zeros(width)) / (1 + len(grams) / o.effective)
+        said = re.match("[A-Za-z]+", declared or "")
+        found.append((len(grams), like, softmax(like), said[0].lower() if said else None, suffix and suffix.lower(), host and host.lower()))
+    sure = [f for f in found if f[0]]
+    total = sum((f[2] for f in sure), np.zeros(width))
+    overall = (total + 1) / (total.sum() + width)
+    table = np.array([sum((f[2] for f in sure if f[3] == name), np.zeros(width)) for name in model.languages]) + 0.5
+    spoken = np.log(table / table.sum(axis=0))
+    out = []
+    for n, like, posterior, said, suffix, host in found:
+        own = posterior if n else np.zeros(width)
+        prior = overall
+        for level, value in ((4, suffix), (5, host)):
+            mass = np.zeros(width) if value is None else np.maximum(sum((f[2] for f in sure if f[level] == value), np.zeros(width)) - own, 0)
+            prior = (mass + o.strength * prior) / (mass.sum() + o.strength)
+        extra = spoken[model.languages.index(said)] if said in model.languages else np.zeros(width)
+        fused = softmax(like + extra + np.log(prior))
+        best = int(fused.argmax())
+        text_best = model.languages[int(posterior.argmax())] if n else "und"
+        out.append((model.languages[best] if n and fused[best] >= o.least else "und", float(fused[best]), text_best, n))
+    return out
+
+
+def test_fusion_equals_brute_force(spark):
+    rng = random.Random(21)
+    sounds = {"aa": "ba do mi", "bb": "shu krr ba", "cc": "éta ño mi"}
+    text = lambda name, n: " ".join("".join(rng.choice(sounds[name].split()) for _ in range(2)) for _ in range(n))
+    train = [(i, text(name, 30), name) for i, name in enumerate(["aa", "bb", "cc"] * 12)]
+    o = language.LanguageOptions()
+    model = language.fit(spark.createDataFrame(train, "doc_id long, text string, lang string"), o)
+    rows = []
+    for i in range(120):
+        name = rng.choice(["aa", "bb", "cc"])
+        declared = rng.choice([name, name, name.upper() + "-XX", "zz", None, rng.choice(["aa", "bb", "cc"])])
+        rows.append((i, rng.choice([text(name, rng.choice([1, 2, 20])), "12 3", None, "ba"]), declared, rng.choice([None, "S" + name, "s" + name]), rng.choice([None, f"H{name}1", f"h{name}2", "one"])))
+    frame_ = spark.createDataFrame(rows, "doc_id long, text string, declared string, suffix string, host string").repartition(3)
+    got = rows_of(language.identified(frame_, model, o))
+    for row, expected in zip(rows, brute_fusion(rows, model, o)):
+        r = got[row[0]]
+        assert (r.language, r.text_language, r.n_grams) == (expected[0], *expected[2:]) and r.probability == pytest.approx(expected[1], rel=1e-9)
+
+
+def test_language_without_declarations_on_unseen_rows(spark):
+    """What text and source say alone, on rows that training has not read."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    train = docs.where("doc_id % 2 = 0")
+    model = language.fit(train, language.LanguageOptions())
+    evidence = language.document_evidence(docs.where("doc_id % 2 = 1")).withColumn("declared", F.lit(None).cast("string"))
+    found = language.identified(evidence, model).join(docs.select("doc_id", "lang", "n_chars"), "doc_id").where("n_chars > 100")
+    rows = found.collect()
+    assert sum(r.language == r.lang for r in rows) / len(rows) > 0.97
+
+
+def test_page_evidence(spark):
+    html = [
+        '<HTML LANG=pt-BR><script>let a = "<b>"</script><p>ol&aacute; <b>mundo</b><!-- não --></p>',
+        "<html><body>x</body></html>", "", None, "<html lang='De'><style>p{}</style>t",
+    ]
+    urls = ["https://u:p@Www.Example.com.br:80/x", "ftp://h/", "no address", None, "http://a.de?x#y"]
+    pages = spark.createDataFrame(list(zip(range(5), urls, html)), "page_id long, url string, html string")
+    got = {r.doc_id: (re.sub(r"\s+", " ", r.text).strip(), r.declared, r.suffix, r.host) for r in language.page_evidence(pages).collect()}
+    assert got == {
+        0: ("ol mundo", "pt", "br", "Www.Example.com.br"), 1: ("x", None, "h", "h"), 2: ("", None, None, None),
+        3: ("", None, None, None), 4: ("t", "De", "de", "a.de"),
+    }
+
+
 def test_host_prior_decides_when_the_text_does_not(spark):
     model = language.TextModel(["xx", "yy"], np.log(np.full((1 << 14, 2), 2.0**-14)).astype(np.float32))
     model.logs[language._trigrams(np.frombuffer(b"bba", np.uint8), 14)[0]] = np.log([0.5, 0.01])
@@ -510,6 +714,43 @@ def test_licence_digests(spark):
     assert licences.licensed(empty(spark), licences.known_licences(spark)).collect() == []
 
 
+def paragraphs(text):
+    """Paragraphs in one line each; copyright statements keep theirs."""
+    held = []
+    for line in [*text.split("\n"), ""]:
+        if line.strip() and not re.match(licences._COPYRIGHT, line.lower()):
+            held.append(line)
+            continue
+        if held:
+            yield " ".join(" ".join(held).split())
+        held = []
+        if line.strip():
+            yield line
+
+
+def test_wrapped_texts_have_the_same_digest(spark):
+    """Every catalogue text in lines of 60 to 80 characters, in one line, and as it is."""
+    rows, names = [], []
+    for name, text in licences.catalogue():
+        for width in (60, 72, 80, 10**6):
+            lines = [p if re.match(licences._COPYRIGHT, p.lower()) else textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in paragraphs(text)]
+            rows.append("\n\n".join(lines))
+            names.append(licences.plain_digest(text))
+    docs = frame(spark, rows, list(range(len(rows))))
+    got = rows_of(licences.licensed(docs, licences.known_licences(spark)))
+    assert [got[i].digest for i in range(len(rows))] == names
+    assert all(got[i].license_id for i in range(len(rows)))
+
+
+def test_only_copyright_statements_are_dropped(spark):
+    body = dict(licences.KNOWN)["ISC"]
+    wrapped = body.replace("above copyright notice", "above\ncopyright notice")
+    heads = ["Copyright (c) 2020, Someone\nAll rights reserved.\n", "/* (C) Copyright 1999-2004 A. Body */\n", "© 2020 Someone\n", "Copyright [yyyy] [name]\n", "  copyright by A. Body\n"]
+    rows = [wrapped, *[h + "\n" + wrapped for h in heads], "copyright notice and this\n" + body, "(c) the following\n" + body]
+    got = rows_of(licences.licensed(frame(spark, rows, list(range(len(rows)))), licences.known_licences(spark)))
+    assert [got[i].license_id for i in range(len(rows))] == ["ISC"] * 6 + [None] * 2
+
+
 def test_licences_with_titles_and_other_common_texts(spark):
     by_name = {}
     for name, text in licences.catalogue():
