@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, duck, name):
     cursor = duck.execute(SQL[name])
     columns = [d[0] for d in cursor.description]
     kinds = {d[0]: str(d[1]) for d in cursor.description}
-    widths = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR"}
+    widths = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
     assert sorted(columns) == sorted(got.columns)
     assert {c: widths[t] for c, t in got.dtypes} == kinds
     expected, actual = _rows(columns, cursor.fetchall()), _rows(got.columns, got.collect())
