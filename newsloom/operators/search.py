@@ -18,7 +18,7 @@ from newsloom.functions.text import fold
 
 BUCKETS = 64
 _WORD = r"([\p{L}\p{N}]+)"
-NEVER = datetime(1, 1, 1)  # stands for articles without a date, which come last
+NEVER = datetime(1600, 1, 1)  # stands for articles without a date, which come last; none is older
 
 
 def terms_of(text: Column) -> Column:
