@@ -39,7 +39,10 @@ def run_collect(
         result = collect(
             plan, raw_pages, options, stored, seen, staged, landed_only, waiting=waiting, earlier=earlier
         )
-        write_version(result.changes, f"{root}/articles", version)
+        if options.components.write is None:
+            write_version(result.changes, f"{root}/articles", version)
+        else:
+            options.components.write(result, root, version)
         write_version(result.items, f"{root}/write_log", version)
         write_version(result.outcomes, f"{root}/outcomes", version)
         if result.waiting is not None:

@@ -207,3 +207,30 @@ def test_page_override_keeps_portal_name(spark, tmp_path):
     plan = plan_of(spark, tmp_path, config(), config("Dois"), pages_override=[{"url": "https://x/1", "metadata": None}])
     rows = plan.orderBy("portal_idx").select("portal", "page_url", F.col("page_meta")["portal_name"].alias("n")).collect()
     assert [tuple(r) for r in rows] == [("Costa", "https://x/1", "Costa"), ("Dois", "https://x/1", "Dois")]
+
+
+def test_own_parser_cleaner_normalizer_and_writer(spark, tmp_path):
+    """Every hook of a run is used, on the columns it is promised."""
+    from newsloom.operators.extract import article_parts, clean
+    from newsloom.plans.collect import Components
+    from newsloom.plans.run import run_collect
+
+    def parse(html, options, keep_body, given):
+        part = article_parts(html, options, keep_body, given)
+        return part.withField("title_text", F.concat(F.lit("own "), F.col("metadata")["edition"].isNull().cast("string")))
+
+    def cleaner(html):
+        found = clean(html)
+        return F.struct(found["safe_html"].alias("safe_html"), F.upper(found["text"]).alias("text"))
+
+    stored = {}
+
+    def write(result, root, version):
+        stored[version] = {r.url: (r.title, r.content_text, r.portal_name) for r in result.changes.collect()}
+
+    parts = Components(parse_article=parse, clean=cleaner, normalize=lambda df: df.withColumn("portal_name", F.lit("Outro")), write=write)
+    root = str(tmp_path / "store")
+    report = run_collect(spark, plan_of(spark, tmp_path, config()), landed(spark, PAGES), root, 3, Options(run_ts="2023-06-06", components=parts))
+    assert report.count() == 1 and set(stored) == {3}
+    assert stored[3][FIRST][1:] == ("ONDA 31 FIM", "Outro") and stored[3][THIRD] == ("own true", "ONDA 33 FIM", "Outro")
+    assert not (tmp_path / "store" / "articles").exists() and (tmp_path / "store" / "write_log").exists()
