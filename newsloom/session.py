@@ -23,8 +23,6 @@ SQL_SETTINGS = {
     # HTML rows are wide: bound the Arrow batches by bytes, not only by row count.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
-    # Texts are wide too: fewer rows in a scan's column vectors keep their arrays small.
-    "spark.sql.parquet.columnarReaderBatchSize": "1024",
 }
 
 
