@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +27,7 @@ from newsloom import schemas as S
 from newsloom.functions.metadata import has_key, merge_maps, set_default
 from newsloom.functions.tags import normalize_list, split_tags
 from newsloom.functions.text import strip
-from newsloom.session import stage
+from newsloom.session import Staging, stage
 
 # The sections every configuration must hold.
 COMPONENTS = ("scraper", "url_normalizer", "date_normalizer", "text_cleaner", "deduper", "writer")
@@ -75,14 +76,48 @@ def config_files(
 def read_configs(
     spark: SparkSession, paths: Sequence[str] = (), directory: str | None = None
 ) -> DataFrame:
-    """One row per config file: ``portal_idx``, ``file`` and its ``text``."""
-    files = config_files(spark, paths, directory)
-    order = spark.createDataFrame(list(enumerate(files)), "portal_idx int, file string")
-    # The index gives escaped URIs; paths are read as they are.
-    texts = spark.read.text([unquote(file) for file in files], wholetext=True).select(
-        F.input_file_name().alias("file"), F.col("value").alias("text")
-    )
-    return texts.join(order, "file").select("portal_idx", "file", "text")
+    """One row per config file: ``portal_idx``, ``file`` and its ``text``.
+
+    Every file is opened once and its row is written to the shared folder. Given paths are few
+    and named one by one; the files of the directory are found, read and numbered by Spark. Rows
+    are small and their rules take long, so they are dealt to all cores whatever their bytes.
+    """
+    keep, given = Staging(spark), config_files(spark, paths) if paths else []
+    if not given and not directory:
+        raise ValueError("no portal configuration given")
+    read = lambda texts: texts.select(F.input_file_name().alias("file"), F.col("value").alias("text"))
+    parts = []
+    if given:
+        order = spark.createDataFrame(list(enumerate(given)), "portal_idx int, file string")
+        # The index gives escaped URIs; paths are read as they are.
+        texts = read(spark.read.text([unquote(file) for file in given], wholetext=True))
+        parts.append(keep(texts.join(order, "file").select("portal_idx", "file", "text"), "configs"))
+    if directory:
+        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        texts = read(reader.text(directory, wholetext=True))
+        found = keep(texts.where(~F.col("file").isin(given)) if given else texts, "configs")
+        parts.append(_numbered(found, len(given), keep))
+    configs = reduce(DataFrame.unionByName, parts)
+    configs = keep(configs.repartition(2 * spark.sparkContext.defaultParallelism, "portal_idx"), "configs")
+    if configs.isEmpty():
+        raise ValueError("no portal configuration given")
+    return configs
+
+
+def _numbered(texts: DataFrame, first: int, keep: Staging) -> DataFrame:
+    """``texts`` with ``portal_idx`` from ``first`` on, by the order of the names.
+
+    Names are sorted in ranges; a name's number is its place in its range and the sizes of the
+    ranges before it, of which there are as many as tasks.
+    """
+    ranges = texts.select("file").repartitionByRange("file").select("file", F.spark_partition_id().alias("part"))
+    names = keep(ranges, "names")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = names.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("file")) - 1
+    numbers = names.withColumn("place", place).join(F.broadcast(sizes), "part")
+    numbers = numbers.select("file", (F.col("before") + F.col("place") + first).cast("int").alias("portal_idx"))
+    return texts.join(numbers, "file").select("portal_idx", "file", "text")
 
 
 def _kind(value: Column) -> Column:

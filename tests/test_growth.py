@@ -24,3 +24,19 @@ def test_a_batch_is_parsed_in_slices():
     assert len(found) == len(htmls)
     assert all(rows == 1 or size <= X.SLICE_BYTES for rows, size in sizes) and len(sizes) > 5
     assert list(X._arrow(counted, X._LISTING_ARROW, iter([(pa.array([], pa.string()), pa.array([], pa.string()))]))) == []
+
+
+def test_configs_are_numbered_by_name_and_dealt_out(spark, tmp_path):
+    from newsloom.sources.portals import read_configs
+
+    names = [f"{i % 7}/{chr(97 + i % 5)} {i}.json" for i in range(60)]
+    for name in names:
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(name)
+    given = [str(tmp_path / names[i]) for i in (33, 4, 33)]
+    configs = read_configs(spark, given, str(tmp_path))
+    rows = sorted((r.portal_idx, r.text) for r in configs.collect())
+    order = [names[33], names[4]]
+    order += sorted((n for n in names if n not in order), key=lambda n: n.replace(" ", "%20"))
+    assert rows == list(enumerate(order))
+    assert configs.rdd.getNumPartitions() > 1
