@@ -24,15 +24,19 @@ def ingested_events(articles: DataFrame, entities: DataFrame, pipeline_version:
     ``entities`` has ``article_id, entity_id, name, uf``; repeated ones count once. They are
     numbered by id, ``part`` to an event; an article without any has one event with none.
     """
+    # Repeated entities are folded first, so an article named very often is no large group; one
+    # shuffle by article then serves numbering, parts and the join.
     own = entities.select("article_id", "entity_id", "name", "uf").groupBy("article_id", "entity_id").agg(F.min("name").alias("name"), F.min("uf").alias("uf"))
-    order = Window.partitionBy("article_id").orderBy("entity_id")
-    placed = own.withColumn("part", F.floor((F.row_number().over(order) - 1) / part).cast("int"))
-    parts = placed.groupBy("article_id", "part").agg(F.sort_array(F.collect_list(F.struct("entity_id", "name", "uf"))).alias("entities"))
-    sizes = placed.groupBy("article_id").agg((F.max("part") + 1).alias("n_parts"))
+    article = Window.partitionBy("article_id")
+    placed = own.withColumns({
+        "part": F.floor((F.row_number().over(article.orderBy("entity_id")) - 1) / part).cast("int"),
+        "n_parts": F.ceil(F.count("*").over(article) / part).cast("int"),
+    })
+    parts = placed.groupBy("article_id", "n_parts", "part").agg(F.sort_array(F.collect_list(F.struct("entity_id", "name", "uf"))).alias("entities"))
     kind = parts.schema["entities"].dataType
-    heads = articles.select("article_id", *carry).dropDuplicates(["article_id"]).join(sizes, "article_id", "left")
-    rows = heads.withColumn("n_parts", F.coalesce("n_parts", F.lit(1))).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
-    rows = rows.join(parts, ["article_id", "part"], "left")
+    heads = articles.select("article_id", *carry).dropDuplicates(["article_id"])
+    rows = heads.join(parts, "article_id", "left")
+    rows = rows.withColumns({"n_parts": F.coalesce("n_parts", F.lit(1)), "part": F.coalesce("part", F.lit(0))})
     return rows.select(
         "article_id", F.lit(pipeline_version).alias("pipeline_version"), "part", "n_parts",
         F.coalesce("entities", F.array().cast(kind)).alias("entities"), *carry,

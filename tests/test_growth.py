@@ -40,3 +40,16 @@ def test_configs_are_numbered_by_name_and_dealt_out(spark, tmp_path):
     order += sorted((n for n in names if n not in order), key=lambda n: n.replace(" ", "%20"))
     assert rows == list(enumerate(order))
     assert configs.rdd.getNumPartitions() > 1
+
+
+def test_events_shuffle_by_article_once(spark):
+    from newsloom.operators.outbox import ingested_events
+
+    entities = spark.range(600).selectExpr("id % 7 AS article_id", "id % 50 AS entity_id", "'n' AS name", "'SP' AS uf")
+    articles = spark.createDataFrame([(i,) for i in range(9)], "article_id long")
+    events = ingested_events(articles, entities, "v1", part=20)
+    plan = events._jdf.queryExecution().executedPlan().toString()
+    assert ", part#" not in "".join(line for line in plan.splitlines() if "hashpartitioning" in line)
+    found = sorted((r.article_id, r.part, r.n_parts, len(r.entities)) for r in events.collect())
+    model = [(a, p, 3, 20 if p < 2 else 10) for a in range(7) for p in range(3)] + [(7, 0, 1, 0), (8, 0, 1, 0)]
+    assert found == model
