@@ -53,3 +53,27 @@ def test_events_shuffle_by_article_once(spark):
     found = sorted((r.article_id, r.part, r.n_parts, len(r.entities)) for r in events.collect())
     model = [(a, p, 3, 20 if p < 2 else 10) for a in range(7) for p in range(3)] + [(7, 0, 1, 0), (8, 0, 1, 0)]
     assert found == model
+
+
+def test_a_collect_run_moves_items_and_listings_once(spark, sf_dir, monkeypatch):
+    from newsloom.plans import scrape as module
+    from newsloom.plans.samples import document_web
+    from newsloom.session import stage
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan, pages = document_web(spark, sf_dir)
+        staged = {}
+
+        def keep(df, name):
+            staged[name] = stage(df, name)
+            return staged[name]
+
+        found = module.scrape(plan, stage(pages, "landed"), keep, unique_pages=True)
+        text = found.articles._jdf.queryExecution().executedPlan().toString()
+        assert set(staged["items"].columns) == {"portal_idx", "page_index", "position", "portal", "url", "fetch_url", "is_first"}
+        moved = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+        assert sum("fetch_url" in line for line in moved) == 1 and not any("position" in line for line in moved)
+        assert found.first.count() == found.items.where("is_first").count() >= found.articles.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
