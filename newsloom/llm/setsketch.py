@@ -56,6 +56,7 @@ class SketchOptions:
 
 CONTRACT = SketchOptions(words=3, percent=85)
 SHARE = 500  # rows of one shingle that meet their partners in one place
+SLICE_BYTES = 1 << 21  # text whose words and points a worker holds at a time
 TOP = 2**12 - 2  # registers are truncated to 0 ... TOP + 1
 
 
@@ -128,7 +129,7 @@ def _sketcher(options: SketchOptions):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
-            for part in slices(batch.column(1), lower=True):
+            for part in slices(batch.column(1), lower=True, size=SLICE_BYTES):
                 values, bounds = shingles(part, options.words)
                 sizes = np.diff(bounds)
                 owner = np.repeat(np.arange(len(part)), sizes)
@@ -165,7 +166,7 @@ def sketches(texts: DataFrame, options: SketchOptions) -> DataFrame:
 def _setter(options: SketchOptions):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column(1), lower=True):
+            for part in slices(batch.column(1), lower=True, size=SLICE_BYTES):
                 values, bounds = shingles(part, options.words)
                 yield pa.record_batch(
                     [batch.column(0).slice(part.first, len(part)), list_array(values, bounds)],

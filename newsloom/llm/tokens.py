@@ -2,6 +2,8 @@
 
 Words repeat, so a worker remembers the ids of words it has met and joins them. That is exact:
 the tokenizer drops white space, and neither its pre-tokens nor its merges reach across them.
+Texts are taken one by one, long ones in slices that end at white space, so the words of a batch
+are never held together.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 
 # The pre-token classes of the tokenizer within Latin-1, where lower-casing is one to one and
 # normalization changes nothing: letters, single numbers, runs of anything else.
@@ -17,7 +20,26 @@ _NUMBERS = "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe"
 _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\xff]*")
 _PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
 _SPECIAL = "<|"
-MEMORY = 1_000_000  # words a worker remembers, about 150 MB; then it begins anew
+_BLANK = re.compile("[\\t\\n\\r ]")
+SLICE = 1 << 18  # code points of a text that are split into words at a time
+MEMORY = 32 << 20  # bytes, by _cost, of the words a worker remembers; then it begins anew with one slice's words
+
+
+def _cost(word: str, ids: bytes) -> int:
+    """About what Python needs for a word and its ids in a dictionary."""
+    return len(word) + len(ids) + 160
+
+
+def _slices(text: str) -> Iterator[str]:
+    """``text`` in slices of about :data:`SLICE`, cut in front of white space only."""
+    low = 0
+    while len(text) - low > SLICE:
+        found = _BLANK.search(text, low + SLICE)
+        if found is None:
+            break
+        yield text[low : found.start()]
+        low = found.start()
+    yield text[low:] if low else text
 
 
 class WordTokens:
@@ -31,6 +53,7 @@ class WordTokens:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        self._held = 0
 
     @classmethod
     def of(cls, path: str) -> WordTokens:
@@ -43,25 +66,39 @@ class WordTokens:
         done = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in done]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of whole texts; null is empty."""
-        split: list[list[str] | None] = []
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens; the byte level leaves ASCII as it is, so the model takes it at once."""
+        model = self._tokenizer.model
+        found = {w: array("I", [t.id for t in model.tokenize(w)]).tobytes() for w in words if w.isascii()}
+        others = [w for w in words if w not in found]
+        found.update(zip(others, self._ids(others)))
+        return [found[w] for w in words]
+
+    def _joined(self, words: list[str]) -> bytes:
+        """Ids of words in a row; the fresh ones are remembered."""
+        known = self._known
+        try:
+            return b"".join([known[w] for w in words])
+        except KeyError:
+            pass
+        fresh = [w for w in set(words) if w not in known]
+        ids = self._of_words(fresh)
+        cost = sum(map(_cost, fresh, ids))
+        if self._held + cost > MEMORY:
+            known.clear()
+            self._held = 0
+            fresh = list(set(words))
+            ids = self._of_words(fresh)
+            cost = sum(map(_cost, fresh, ids))
+        known.update(zip(fresh, ids))
+        self._held += cost
+        return b"".join([known[w] for w in words])
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of whole texts, one after the other; null is empty."""
         for text in texts:
             text = text or ""
-            plain = _SPECIAL not in text and _PLAIN.fullmatch(text) is not None
-            split.append(_PIECES.findall(text.lower()) if plain else None)
-        known, out = self._known, []
-        for text, words in zip(texts, split):
-            if words is None:
-                out.append(self._ids([text])[0])
-                continue
-            try:
-                out.append(b"".join([known[w] for w in words]))
-            except KeyError:
-                fresh = [w for w in set(words) if w not in known]
-                if len(known) + len(fresh) > MEMORY:
-                    known.clear()
-                    fresh = list(set(words))
-                known.update(zip(fresh, self._ids(fresh)))
-                out.append(b"".join([known[w] for w in words]))
-        return out
+            if _SPECIAL in text or _PLAIN.fullmatch(text) is None:
+                yield self._ids([text])[0]
+            else:
+                yield b"".join([self._joined(_PIECES.findall(part.lower())) for part in _slices(text)])

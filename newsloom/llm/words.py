@@ -77,12 +77,12 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[at[0] : at[-1]], at - at[0]
 
 
-def slices(texts: pa.Array, lower: bool = False, hashed: bool = True) -> Iterator[Slice]:
-    """Cut a batch into slices and find their words."""
+def slices(texts: pa.Array, lower: bool = False, hashed: bool = True, size: int = SLICE_BYTES) -> Iterator[Slice]:
+    """Cut a batch into slices of at most ``size`` bytes, or one longer document, and find their words."""
     data, offsets = buffers(texts)
     first = 0
     while first < len(offsets) - 1:
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         last = min(max(last, first + 1), first + SLICE_ROWS, len(offsets) - 1)
         part = data[offsets[first] : offsets[last]]
         yield _slice(first, _LOWER[part] if lower else part, offsets[first : last + 1] - offsets[first], hashed)

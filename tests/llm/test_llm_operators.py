@@ -5,6 +5,7 @@ import math
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.llm import anchors, boosting, decontamination, language, licences, packing, personal, quality, quartiles, setsketch, token_counts
+from newsloom.llm import anchors, boosting, decontamination, language, licences, packing, personal, quality, quartiles, setsketch, token_counts, tokens
 from newsloom.llm.tables import sampled
 from newsloom.operators.components import components
 from newsloom.session import stage
@@ -188,6 +189,30 @@ def test_packing(spark, texts, window):
     assert got.sequence_id.nunique() <= -(-got.length.sum() // window) * 1.1 + 1
 
 
+def test_word_memory_is_bounded_by_bytes(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz\u00e9", k=n))
+    texts = [" ".join(word(9) for _ in range(2000)) for _ in range(50)]
+    texts += [" ".join(word(rng.choice([1, 3, 3000])) for _ in range(300)), "x" * 9000, "a\n\t b" * 3000, "it's 12% \u00b2 DON'T " * 900, "", None]
+    monkeypatch.setattr(tokens, "MEMORY", 2 << 20)
+    monkeypatch.setattr(tokens, "SLICE", 4000, raising=False)
+    encoder = tokens.WordTokens(path)
+    sums = []
+    tracemalloc.start()
+    try:
+        for ids in encoder.encode(texts):
+            sums.append(zlib.crc32(ids))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 12 << 20
+    tokenizer = Tokenizer.from_file(path)
+    assert sums == [zlib.crc32(np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes()) for t in texts]
+
+
 def test_packing_odd_tables(spark):
     options = packing.PackOptions(tokenizer=public_tokenizers.path("word_bpe_49k.json"))
     assert packing.packed(empty(spark), options).collect() == []
