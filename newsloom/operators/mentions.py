@@ -26,14 +26,15 @@ from newsloom.session import Staging
 
 # A word: letters and digits, with the marks that follow a letter as characters of their own.
 _MARKS = "\u0300-\u036f"
-_WORD = re.compile(f"[^\\W_](?:[^\\W_]|[{_MARKS}])*")
+_WORD = re.compile(f"[^\\W_](?:[^\\W_]+|[{_MARKS}]+)*")
+_ASCII_WORD = re.compile("[A-Za-z0-9]+")
 _WORD_SQL = f"[\\p{{L}}\\p{{N}}][\\p{{L}}\\p{{N}}{_MARKS}]*"
 # What may stand between the words of one name.
 _JOINT = re.compile("[ \\t\u00a0'\u2019-]+")
 # A state named behind a mention: "Name (SP)", "Name/SP", "Name - SP", "Name, SP".
 _STATE = re.compile(r"[ \t]?(?:[-/,\u2013][ \t]?|\()([A-Z]{2})(?![^\W_])")
 _FOLD = {ord(a): b for a, b in zip(ACCENTED, PLAIN)}
-_FIRST_BITS = 1 << 20
+_BITS = 1 << 20
 _GRAMS = "article_id string, own_uf string, start int, finish int, key string, said_uf string"
 
 
@@ -52,45 +53,63 @@ def alias_key(name: Column) -> Column:
     return F.regexp_replace(F.array_join(words, " "), f"[{_MARKS}]", "")
 
 
+def _folded(word: str) -> str:
+    if word.isascii():
+        return word.lower()
+    key = word.translate(_FOLD).lower()
+    return key if key.isascii() else re.sub(f"[{_MARKS}]", "", key)
+
+
 def folded_words(text: str) -> list[tuple[int, int, str]]:
     """``(start, finish, key)`` of every word, places in code points of ``text``."""
-    found = []
-    for m in _WORD.finditer(text):
-        key = m[0].translate(_FOLD).lower()
-        found.append((m.start(), m.end(), key if key.isascii() else re.sub(f"[{_MARKS}]", "", key)))
-    return found
+    return [(m.start(), m.end(), _folded(m[0])) for m in _WORD.finditer(text)]
+
+
+def _grams(longest: int, marked: bytes):
+    """All runs of up to ``longest`` words that may be an alias by the bits of :func:`_beginnings`.
 
+    A word is folded and looked up once per worker, not where it occurs; the words behind it are
+    looked at as long as an alias may begin like that.
+    """
+    bits = np.unpackbits(np.frombuffer(marked, dtype=np.uint8), bitorder="little").tobytes()
 
-def _grams(longest: int, first: bytes):
-    """All runs of up to ``longest`` words that begin with the first word of some alias."""
-    bits = np.frombuffer(first, dtype=np.uint8)
+    def begins(key: str) -> int:
+        return bits[zlib.crc32(key.encode()) % _BITS]
 
-    def begins(word: str) -> bool:
-        at = zlib.crc32(word.encode()) % _FIRST_BITS
-        return bool(bits[at >> 3] >> (at & 7) & 1)
+    def whole(key: str) -> int:
+        return bits[_BITS + zlib.crc32(key.encode()) % _BITS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _GRAMS.split(", ")]
         kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
-        known: dict[str, bool] = {}
+        known: dict[str, str] = {}  # the folded word, or nothing if no alias begins with it
         for batch in batches:
             rows = []
             for article_id, text, own in zip(*(column.to_pylist() for column in batch.columns)):
-                words = folded_words(text or "")
-                for i, (start, _, word) in enumerate(words):
-                    if word not in known:
-                        if len(known) >= 1_000_000:
+                text = text or ""
+                word = _ASCII_WORD if text.isascii() else _WORD
+                for m in word.finditer(text):
+                    key = known.get(m[0])
+                    if key is None:
+                        if len(known) >= 250_000:
                             known.clear()
-                        known[word] = begins(word)
-                    if not known[word]:
+                        key = _folded(m[0])
+                        key = known[m[0]] = key if begins(key) else ""
+                    if not key:
                         continue
-                    key = ""
-                    for j in range(i, min(i + longest, len(words))):
-                        if j > i and not _JOINT.fullmatch(text, words[j - 1][1], words[j][0]):
+                    start, left = m.start(), longest
+                    while True:
+                        if whole(key):
+                            state = _STATE.match(text, m.end())
+                            rows.append((article_id, own, start, m.end(), key, state[1] if state else None))
+                        left -= 1
+                        joint = _JOINT.match(text, m.end()) if left else None
+                        m = word.match(text, joint.end()) if joint else None
+                        if m is None:
+                            break
+                        key = f"{key} {_folded(m[0])}"
+                        if not begins(key):
                             break
-                        key = f"{key} {words[j][2]}" if j > i else word
-                        state = _STATE.match(text, words[j][1])
-                        rows.append((article_id, own, start, words[j][1], key, state[1] if state else None))
                 if len(rows) >= 50_000:
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names=names)
                     rows = []
@@ -100,22 +119,33 @@ def _grams(longest: int, first: bytes):
     return run
 
 
-def _disjoint(rows: pa.Table) -> pa.Table:
-    """Of the matches of one article those that stay, from left to right."""
-    rows = rows.sort_by([("start", "ascending"), ("finish", "descending")])
-    end, kept = -1, []
-    for i, (start, finish) in enumerate(zip(rows.column("start").to_pylist(), rows.column("finish").to_pylist())):
-        if start >= end:
-            kept.append(i)
-            end = finish
-    return rows.take(kept)
+def _disjoint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the matches of every article those that stay, from left to right.
 
-
-def _first_words(keys: DataFrame) -> bytes:
-    """A fixed number of bits, set for the first words of the aliases; that is all that is collected."""
-    place = F.pmod(F.crc32(F.substring_index("key", " ", 1)), F.lit(_FIRST_BITS)).cast("int")
-    bits = np.zeros(_FIRST_BITS, dtype=np.uint8)
-    bits[[row.place for row in keys.select(place.alias("place")).distinct().toLocalIterator()]] = 1
+    Rows come article by article, sorted by place; an article may reach over batches.
+    """
+    article, end = None, -1
+    for batch in batches:
+        kept = []
+        columns = (batch.column(name).to_pylist() for name in ("article_id", "start", "finish"))
+        for i, (article_id, start, finish) in enumerate(zip(*columns)):
+            if article_id != article:
+                article, end = article_id, -1
+            if start >= end:
+                kept.append(i)
+                end = finish
+        yield batch.take(pa.array(kept, pa.int64()))
+
+
+def _beginnings(keys: DataFrame) -> bytes:
+    """A fixed number of bits, set for what aliases begin with (one word, two, ...), and as many for
+    whole aliases; that is all that is collected."""
+    begun = F.explode(F.expr("transform(sequence(1, size(split(key, ' '))), n -> substring_index(key, ' ', n))"))
+    place = lambda text: F.pmod(F.crc32(text), F.lit(_BITS)).cast("int")
+    places = keys.select(begun.alias("begun")).select(place("begun").alias("place")).union(keys.select(place("key") + _BITS))
+    bits = np.zeros(2 * _BITS, dtype=np.uint8)
+    for row in places.distinct().toLocalIterator():
+        bits[row.place] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -157,11 +187,12 @@ def find_mentions(articles: DataFrame, aliases: DataFrame, options: MentionOptio
     if not size.longest:
         return articles.sparkSession.createDataFrame([], f"article_id string, start int, finish int, entity_id {aliases.schema['entity_id'].dataType.simpleString()}, uf string")
 
-    grams = texts.mapInArrow(_grams(size.longest, _first_words(keys)), _GRAMS)
-    hits = _looked_up(grams, keys, size.bytes <= options.broadcast_bytes, options.salts).distinct()
+    grams = texts.mapInArrow(_grams(size.longest, _beginnings(keys)), _GRAMS)
+    hits = _looked_up(grams, keys, size.bytes <= options.broadcast_bytes, options.salts)
     shape = f"{_GRAMS}, n_entities long, only_uf string"
     hits = hits.select(*[x.split()[0] for x in shape.split(", ")])
-    kept = keep(hits.groupBy("article_id").applyInArrow(_disjoint, shape), "kept")
+    place = ("article_id", "start", F.desc("finish"), "own_uf", "said_uf")
+    kept = keep(hits.repartition("article_id").sortWithinPartitions(*place).mapInArrow(_disjoint, shape), "kept")
 
     around = kept.where("n_entities = 1 AND only_uf IS NOT NULL").groupBy("article_id", F.col("only_uf").alias("uf")).agg(F.count("*").alias("around"))
     found = _looked_up(kept.drop("n_entities", "only_uf"), named, all_rows <= options.broadcast_bytes, options.salts)

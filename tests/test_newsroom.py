@@ -8,12 +8,13 @@ from collections import Counter, defaultdict
 from email.utils import parsedate_to_datetime
 from urllib.parse import urlsplit
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import fold
 from newsloom.functions.urls import canonical_url
-from newsloom.operators import ingestion
+from newsloom.operators import ingestion, mentions
 from newsloom.operators.mentions import MentionOptions, find_mentions, mentions_by_entity
 from newsloom.sources.feeds import by_priority, parse_feed_date, read_feeds
 
@@ -88,6 +89,25 @@ def test_mentions_equal_a_scan(spark, limit):
     assert sorted(got["7"]) == [(0, 10, 2, "SC"), (17, 25, 4, "RN")]
 
 
+def test_only_possible_names_leave_the_scan(spark):
+    keys = spark.createDataFrame([("sao jose",), ("sao jose dos campos",), ("itu",)], "key string")
+    scan = mentions._grams(4, mentions._beginnings(keys))
+    text = "S\u00e3o Paulo, s\u00e3o jose-dos santos, S\u00c3O JOS\u00c9 dos Campos (SP) " + "sao sao " * 500 + "Itu/SP"
+    batch = pa.record_batch([pa.array(["1"]), pa.array([text]), pa.array([None], pa.string())], names=["article_id", "text", "uf"])
+    found = [row for out in scan(iter([batch])) for row in out.to_pylist()]
+    assert [(r["key"], text[r["start"] : r["finish"]], r["said_uf"]) for r in found] == [
+        ("sao jose", "s\u00e3o jose", None), ("sao jose", "S\u00c3O JOS\u00c9", None), ("sao jose dos campos", "S\u00c3O JOS\u00c9 dos Campos", "SP"), ("itu", "Itu", "SP"),
+    ]
+
+
+def test_articles_reach_over_batches():
+    rows = [("a", 0, 9), ("a", 0, 3), ("a", 9, 12), ("a", 10, 40), ("a", 12, 13), ("b", 0, 2), ("b", 1, 3), ("b", 2, 3)]
+    rows = pa.table(dict(zip(("article_id", "start", "finish"), map(list, zip(*rows)))))
+    for size in (1, 2, 3, 8):
+        kept = [tuple(r.values()) for out in mentions._disjoint(iter(rows.to_batches(max_chunksize=size))) for r in out.to_pylist()]
+        assert kept == [("a", 0, 9), ("a", 9, 12), ("a", 12, 13), ("b", 0, 2), ("b", 2, 3)]
+
+
 def test_mentions_odd_inputs(spark):
     articles, aliases = mention_frames(spark, [("Itu e Itu", None)])
     twice = find_mentions(articles.union(articles), aliases)
