@@ -213,6 +213,28 @@ def test_word_memory_is_bounded_by_bytes(monkeypatch):
     assert sums == [zlib.crc32(np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes()) for t in texts]
 
 
+def test_only_fresh_and_odd_words_reach_the_tokenizer(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8))
+    common = [word() for _ in range(300)]
+    odd = ["\u201cquoted\u201d", "\u03a3\u0391\u03a3", "\u4e2d\u6587", "e\u0301t\u00e9\u0307\u0323", "a\u00a0b\u2028c", "x\x0by", "\u0130I", "<|endoftext|>", "it's"]
+    texts = [" ".join(rng.sample(common, 300) + [word() for _ in range(300)] + odd[k % 9 :]) for k in range(60)]
+    monkeypatch.setattr(tokens, "MEMORY", 1 << 20)  # of over 3 MB
+    monkeypatch.setattr(tokens, "SLICE", 1 << 14)
+    encoder = tokens.WordTokens(path)
+    met = Counter()
+    for name in ("_ids", "_of_words", "_of_pieces"):
+        if read := getattr(encoder, name, None):
+            monkeypatch.setattr(encoder, name, lambda words, read=read: met.update(" ".join(words).split(" ")) or read(words))
+    got = [zlib.crc32(ids) for ids in encoder.encode(texts)]
+    assert max(met[w] for w in common) == 1  # in spite of texts with odd words, and of a full memory
+    tokenizer = Tokenizer.from_file(path)
+    assert got == [zlib.crc32(np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()) for t in texts]
+
+
 def test_packing_odd_tables(spark):
     options = packing.PackOptions(tokenizer=public_tokenizers.path("word_bpe_49k.json"))
     assert packing.packed(empty(spark), options).collect() == []
