@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.tables import broadcast_within, sampled
-from newsloom.llm.words import SLICE_BYTES, buffers
+from newsloom.llm.words import buffers
 from newsloom.session import Staging
 
 UNKNOWN = "und"
+SLICE_BYTES = 1 << 18  # text whose trigrams a worker holds at a time; their arrays take some 40 times as much
+HELD = 64  # languages whose counts a worker sums up before it hands them on
 
 
 @dataclass(frozen=True)
@@ -61,12 +63,22 @@ def _lettered(data: np.ndarray) -> np.ndarray:
 
 
 def _parts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First document, bytes and offsets of slices of at most :data:`SLICE_BYTES`.
+
+    A longer document comes in several slices; each also has the next two bytes, so that every
+    trigram lies in one.
+    """
     data, offsets = buffers(texts)
     first = 0
     while first < len(offsets) - 1:
         last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1
-        last = min(max(last, first + 1), len(offsets) - 1)
-        yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+        if last > first:
+            yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+        else:
+            last = first + 1
+            for low in range(int(offsets[first]), int(offsets[last]) - 2, SLICE_BYTES):
+                piece = data[low : min(low + SLICE_BYTES + 2, offsets[last])]
+                yield first, piece, np.array([0, len(piece)])
         first = last
 
 
@@ -85,6 +97,13 @@ def fit(labelled: DataFrame, options: LanguageOptions) -> TextModel:
     """Trigram models from at most ``options.sample`` rows ``doc_id, text, lang``, by hash order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+
+        def summed() -> Iterator[pa.RecordBatch]:
+            for name in sorted(held):
+                yield pa.record_batch([pa.array([name]), pa.array([held[name]], pa.list_(pa.int64()))], names=["lang", "counts"])
+            held.clear()
+
         for batch in batches:
             names = np.array(batch.column(1).to_pylist(), dtype=object)
             for first, data, offsets in _parts(batch.column(0)):
@@ -92,8 +111,10 @@ def fit(labelled: DataFrame, options: LanguageOptions) -> TextModel:
                 grams = _trigrams(data, options.bits)[at] if len(at) else np.zeros(0, dtype=np.uint32)
                 own = names[first : first + len(offsets) - 1]
                 for name in sorted(set(own)):
-                    counts = np.bincount(grams[own[owner] == name] if len(at) else grams, minlength=1 << options.bits)
-                    yield pa.record_batch([pa.array([name]), pa.array([counts.tolist()], pa.list_(pa.int64()))], names=["lang", "counts"])
+                    held[name] = held.get(name, 0) + np.bincount(grams[own[owner] == name] if len(at) else grams, minlength=1 << options.bits)
+                    if len(held) == HELD:
+                        yield from summed()
+        yield from summed()
 
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", "lang")
     rows = sampled(rows, options.sample).select("text", "lang")
@@ -120,9 +141,9 @@ def likelihoods(model: TextModel, options: LanguageOptions):
                 n = np.bincount(owner, minlength=len(offsets) - 1)
                 grams = _trigrams(data, options.bits)[at]
                 for k in range(width):
-                    total = np.bincount(owner, model.logs[grams, k], len(offsets) - 1)
-                    found[first : first + len(n), k] = total / (1 + n / options.effective)
-                counts[first : first + len(n)] = n
+                    found[first : first + len(n), k] += np.bincount(owner, model.logs[grams, k], len(offsets) - 1)
+                counts[first : first + len(n)] += n
+            found /= (1 + counts / options.effective)[:, None]
             lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), width).cast(pa.list_(pa.float64()))
             yield pa.record_batch([*batch.columns[1:], pa.array(counts), lists], names=[*batch.schema.names[1:], "n_grams", "likelihood"])
 

@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -719,6 +720,44 @@ def test_language_without_declarations_on_unseen_rows(spark):
     assert sum(r.language == r.lang for r in rows) / len(rows) > 0.97
 
 
+def test_language_workers_hold_little(monkeypatch):
+    """Trigrams of a full batch and of a long text are taken in small slices, with the same sums."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choices("abcdefghijklmno 1é", k=n))
+    texts = [text(rng.randrange(3000)) for _ in range(1200)] + ["", None, "ab", "é" * 9, text(700_000)]
+    batch = pa.record_batch([pa.array(texts), pa.array(range(len(texts)))], names=["text", "doc_id"])
+    o = language.LanguageOptions()
+    model = language.TextModel(["xx", "yy"], np.log(np.random.default_rng(8).random((1 << o.bits, 2))).astype(np.float32))
+    tracemalloc.start()
+    try:
+        found = list(language.likelihoods(model, o)([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 32 << 20
+    monkeypatch.setattr(language, "SLICE_BYTES", 1 << 30)
+    for got, expected in zip(found, language.likelihoods(model, o)([batch]), strict=True):
+        assert got.column(1).equals(expected.column(1)) and got.column(1)[-1].as_py() > 500_000
+        assert got.column(2)[:-1].equals(expected.column(2)[:-1])
+        assert got.column(2)[-1].as_py() == pytest.approx(expected.column(2)[-1].as_py(), rel=1e-9)
+
+
+def test_language_model_counts_every_trigram_of_long_texts(spark):
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choices("abcdefghijklmno 1é", k=n))
+    train = [(i, text(n), name) for i, (n, name) in enumerate([(300_000, "xx"), (99, "xx"), (600_000, "yy"), (1, "zz")])]
+    train += [(100 + i, f"text number {i}", f"l{i}") for i in range(80)]
+    o = language.LanguageOptions()
+    model = language.fit(spark.createDataFrame(train, "doc_id long, text string, lang string").coalesce(1), o)
+    assert model.languages == sorted({name for _, _, name in train})
+    counts = np.full((1 << o.bits, len(model.languages)), 0.5)
+    for _, text, name in train:
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        at, _ = language._usable(data, np.array([0, len(data)]))
+        counts[:, model.languages.index(name)] += np.bincount(language._trigrams(data, o.bits)[at], minlength=1 << o.bits)
+    assert np.array_equal(model.logs, np.log(counts / counts.sum(axis=0)).astype(np.float32))
+
+
 def test_page_evidence(spark):
     html = [
         '<HTML LANG=pt-BR><script>let a = "<b>"</script><p>ol&aacute; <b>mundo</b><!-- não --></p>',
