@@ -56,7 +56,7 @@ class SketchOptions:
 
 CONTRACT = SketchOptions(words=3, percent=85)
 SHARE = 500  # rows of one shingle that meet their partners in one place
-SLICE_BYTES = 1 << 20  # text whose words and points a worker holds at a time
+SLICE_BYTES = 1 << 19  # text whose words and points a worker holds at a time
 TOP = 2**12 - 2  # registers are truncated to 0 ... TOP + 1
 
 

@@ -27,7 +27,7 @@ _PIECES = f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NU
 _SPECIAL = "<|"
 _SUFFIX = "</w>"  # of the last token of a pre-token, and of no other
 _BLANK = re.compile("[\\t\\n\\r ]")
-SLICE = 1 << 20  # code points of texts that are split into words at a time
+SLICE = 1 << 18  # code points of texts that are split into words at a time
 MEMORY = 32 << 20  # bytes of the words a worker remembers; one slice's words may come on top
 CALL = 1024  # fresh words the tokenizer gets at a time
 COST = 160  # about what Python needs for a word and its ids in a dictionary, besides their bytes
