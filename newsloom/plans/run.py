@@ -7,8 +7,15 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from newsloom.plans.collect import Options, collect
-from newsloom.session import Staging
-from newsloom.sources.store import WAITING_LOG, current_articles, seen_fingerprints, waiting_items, write_version
+from newsloom.session import Staging, shuffles_removed
+from newsloom.sources.store import (
+    WAITING_LOG,
+    current_articles,
+    seen_fingerprints,
+    waiting_items,
+    write_articles,
+    write_version,
+)
 
 
 def run_collect(
@@ -34,19 +41,20 @@ def run_collect(
     if options.run_id is None:
         options = replace(options, run_id=f"{options.run_ts}/{version}")
     report = f"{root}/report/version={version}"
-    with Staging(spark) as staged:
-        waiting = staged(waiting_items(spark, f"{root}/waiting", before=version), "waiting") if wait else None
+    with shuffles_removed(spark, plan.sparkSession), Staging(spark, compression="zstd") as staged:
+        waiting = waiting_items(spark, f"{root}/waiting", before=version) if wait else None
         result = collect(
             plan, raw_pages, options, stored, seen, staged, landed_only, waiting=waiting, earlier=earlier
         )
+        if result.waiting is not None:
+            write_version(result.waiting.select(*WAITING_LOG.names), f"{root}/waiting", version)
+        staged.remove("rows")  # the listing's part of the items is not needed any more
         if options.components.write is None:
-            write_version(result.changes, f"{root}/articles", version)
+            write_articles(result.changes, f"{root}/articles", version)
         else:
             options.components.write(result, root, version)
         write_version(result.items, f"{root}/write_log", version)
         write_version(result.outcomes, f"{root}/outcomes", version)
-        if result.waiting is not None:
-            write_version(result.waiting.select(*WAITING_LOG.names), f"{root}/waiting", version)
         if remember:
             write_version(result.new_seen.filter("NOT fingerprint LIKE 'noop:%'"), f"{root}/seen", version)
         rows = result.report
