@@ -112,3 +112,26 @@ def test_changed_rows_stay_where_they_are(spark, tmp_path):
         assert "content_text" in plan_text(found) and not any("content_text" in line for line in moved)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_listings_of_ready_items_move_once(spark, tmp_path, monkeypatch):
+    """A listing page meets its items by one shuffle, and only one that landed twice by another; slices change nothing."""
+    from newsloom.streaming.bounded import listed_links, read_items
+
+    plan = plan_of(spark, tmp_path, config())
+    when = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    pages = landed(spark, PAGES).withColumn("fetched_at", when)
+    pages.write.parquet(f"{tmp_path}/once")
+    pages.unionByName(pages).write.parquet(f"{tmp_path}/twice")
+    once, twice = (spark.read.schema(S.RAW_PAGES).parquet(f"{tmp_path}/{name}") for name in ("once", "twice"))
+    links = spark.createDataFrame(listed_links(once, plan).collect(), listed_links(once, plan).schema)
+    found = read_items(links, once, plan)
+    assert "first(html" not in plan_text(found)
+    rows = lambda frame: sorted(map(repr, frame.collect()))
+    assert rows(found) == rows(read_items(links, twice, plan)) and found.count() == links.count() > 0
+    count = {}
+    for size in (100_000, 1):
+        monkeypatch.setattr(module, "SLICE_ITEMS", size)
+        parts = module.sliced_articles(found, once, links.count())
+        count[size] = len(parts), sorted(repr(r) for part in parts for r in part.collect())
+    assert count[1][0] > count[100_000][0] == 1 and count[1][1] == count[100_000][1] != []
