@@ -42,7 +42,7 @@ def run_collect(
         options = replace(options, run_id=f"{options.run_ts}/{version}")
     report = f"{root}/report/version={version}"
     with shuffles_removed(spark, plan.sparkSession), Staging(spark, compression="zstd") as staged:
-        waiting = waiting_items(spark, f"{root}/waiting", before=version) if wait else None
+        waiting = waiting_items(spark, f"{root}/waiting", version, staged) if wait else None
         result = collect(
             plan, raw_pages, options, stored, seen, staged, landed_only, waiting=waiting, earlier=earlier
         )
